@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as C
 
@@ -64,6 +65,13 @@ def coerce_id(c: Column) -> Column:
     return F.coalesce(number.try_cast("long"), checked)
 
 
+def id_of(df: DataFrame, name: str) -> Column:
+    """The id column as long: text is coerced, whole-number columns only widened."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name).cast("long").alias(name)
+    return coerce_id(F.col(name).cast("string")).alias(name)
+
+
 def strict_id(c: Column) -> Column:
     """Cast to long where null or bad text is an error."""
     return F.coalesce(c.try_cast("long"), F.raise_error(F.lit("id is missing or not a number")).cast("long"))

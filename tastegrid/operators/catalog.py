@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.numbers import coerce_id
+from ..functions.numbers import id_of
 from ..functions.text import normalize_composer, normalize_text
 from .dedup import lowest_row
 
@@ -16,7 +16,7 @@ MAP_COLUMNS = ["artist_id", "artist", "musicnet_id", "composer_raw", "match_key"
 def build_catalog(artists: DataFrame) -> DataFrame:
     """Raw ``(artist_id text, artist, url)`` to one row per artist with a normalised name."""
     clean = artists.select(
-        coerce_id(F.col("artist_id").cast("string")).alias("artist_id"), normalize_text(F.col("artist")).alias("artist"),
+        id_of(artists, "artist_id"), normalize_text(F.col("artist")).alias("artist"),
         *[c for c in ("url",) if c in artists.columns],
     ).dropna(subset=["artist_id", "artist"])
     return lowest_row(clean, ["artist_id"])
@@ -24,9 +24,10 @@ def build_catalog(artists: DataFrame) -> DataFrame:
 
 def clean_recordings(recordings: DataFrame) -> DataFrame:
     """Raw ``(musicnet_id text, composer_raw)`` to usable rows with ``composer_norm``."""
-    return recordings.select(
-        coerce_id(F.col("musicnet_id").cast("string")).alias("musicnet_id"), "composer_raw"
-    ).dropna(subset=["musicnet_id", "composer_raw"]).withColumn("composer_norm", normalize_composer(F.col("composer_raw")))
+    named = recordings.select(id_of(recordings, "musicnet_id"), "composer_raw")
+    return named.dropna(subset=["musicnet_id", "composer_raw"]).withColumn(
+        "composer_norm", normalize_composer(F.col("composer_raw"))
+    )
 
 
 def composer_aliases(spark: SparkSession) -> DataFrame:
@@ -44,20 +45,19 @@ def match_recordings(recordings: DataFrame, catalog: DataFrame, aliases: DataFra
 
     Names are resolved once per distinct composer, so a composer with a large share of all
     recordings costs no more than any other; the recordings then look their composer up.
+    ``recordings`` is read twice: hand in a stored table.
     """
     bearers = (
         catalog.filter(F.col("artist") != "")
         .groupBy(F.col("artist").alias("match_key")).agg(F.count(F.lit(1)).alias("bearers"), F.min("artist_id").alias("artist_id"))
     )
-    composers = recordings.select("composer_norm").distinct()
-    exact = composers.select("composer_norm", F.col("composer_norm").alias("match_key"), F.lit(0).alias("ord"),
-                             F.lit("exact").alias("match_type"))
-    other = composers.join(aliases, "composer_norm").select(
-        "composer_norm", normalize_text(F.col("alias")).alias("match_key"), F.col("ord").cast("int").alias("ord"),
-        F.lit("alias").alias("match_type"),
-    )
+    exact = F.struct(F.lit(0).alias("ord"), F.col("composer_norm").alias("match_key"), F.lit("exact").alias("match_type"))
+    other = F.struct(F.col("ord").cast("int").alias("ord"), normalize_text(F.col("alias")).alias("match_key"),
+                     F.lit("alias").alias("match_type"))
     first_key = (
-        exact.unionByName(other)
+        recordings.select("composer_norm").distinct()
+        .join(aliases, "composer_norm", "left")
+        .select("composer_norm", F.inline(F.array(exact, other)))
         .join(bearers, "match_key")
         .groupBy("composer_norm")
         .agg(F.min_by(F.struct("bearers", "artist_id", "match_key", "match_type"), "ord").alias("hit"))

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.numbers import coerce_id
+from ..functions.numbers import id_of
 from ..functions.text import cache_key, normalize_tag, tokens
 
 
 def clean_vocabulary(tags: DataFrame) -> DataFrame:
     """Raw ``(tag_id text, tag_name)`` to distinct usable rows; one id may bear several names."""
     return (
-        tags.select(coerce_id(F.col("tag_id").cast("string")).alias("tag_id"), normalize_tag(F.col("tag_name")).alias("tag_name"))
+        tags.select(id_of(tags, "tag_id"), normalize_tag(F.col("tag_name")).alias("tag_name"))
         .dropna(subset=["tag_id"])
         .filter(F.col("tag_name") != "")
         .distinct()
@@ -25,11 +25,9 @@ def clean_vocabulary(tags: DataFrame) -> DataFrame:
 
 def clean_assignments(assignments: DataFrame) -> DataFrame:
     """Raw ``(user_id, artist_id text, tag_id text)`` to rows with usable ids."""
-    return assignments.select(
-        "user_id",
-        coerce_id(F.col("artist_id").cast("string")).alias("artist_id"),
-        coerce_id(F.col("tag_id").cast("string")).alias("tag_id"),
-    ).dropna(subset=["artist_id", "tag_id"])
+    return assignments.select("user_id", id_of(assignments, "artist_id"), id_of(assignments, "tag_id")).dropna(
+        subset=["artist_id", "tag_id"]
+    )
 
 
 def tag_user_counts(assignments: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from .. import schemas
 from ..operators import catalog as cat
 from ..operators import quality, rollup, split, tags, tfidf
 from ..operators.ratings import rate_interactions
+from ..session import materialize
 from ..sources import delimited, payloads, tables
 
 
@@ -23,7 +24,8 @@ def catalog_step(spark: SparkSession, raw: str, out: str) -> None:
     path = f"{raw}/recordings.csv"
     if tables.path_exists(spark, path):
         recordings = delimited.standard_names(delimited.comma_scan(spark, path), schemas.STANDARD_NAMES["recordings"])
-        found = cat.match_recordings(cat.clean_recordings(recordings), catalog, cat.composer_aliases(spark))
+        stored = materialize(cat.clean_recordings(recordings), "recordings")
+        found = cat.match_recordings(stored, catalog, cat.composer_aliases(spark))
     else:
         found = spark.createDataFrame([], schemas.RECORDING_MAP)
     tables.write_table(found, f"{out}/recording_map")

@@ -143,8 +143,9 @@ def json_tags(spark, d):
 # --- catalog ------------------------------------------------------------------------------------
 
 def _entity_match(spark, d):
+    recordings = materialize(catalog.clean_recordings(s.recordings(spark, d)), "recordings")
     return catalog.match_recordings(
-        catalog.clean_recordings(s.recordings(spark, d)), catalog.build_catalog(s.name_catalog(spark, d)), s.aliases(spark, d))
+        recordings, catalog.build_catalog(s.name_catalog(spark, d)), s.aliases(spark, d))
 
 
 @query

@@ -73,13 +73,13 @@ def aliases(spark: SparkSession, d: str) -> DataFrame:
 
 def tag_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(
-        F.col("p_partkey").cast("string").alias("tag_id"), F.concat_ws(" / ", "p_name", "p_brand").alias("tag_name"))
+        F.col("p_partkey").alias("tag_id"), F.concat_ws(" / ", "p_name", "p_brand").alias("tag_name"))
 
 
 def tag_assignments(spark: SparkSession, d: str) -> DataFrame:
     return order_lines(spark, d).select(
-        F.col("o_custkey").alias("user_id"), F.col("l_suppkey").cast("string").alias("artist_id"),
-        F.col("l_partkey").cast("string").alias("tag_id"))
+        F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("artist_id"),
+        F.col("l_partkey").alias("tag_id"))
 
 
 def tag_artists(spark: SparkSession, d: str) -> DataFrame:

@@ -1,0 +1,105 @@
+import json
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from tastegrid import schemas
+from tastegrid.sources import audio, delimited, payloads, tables
+
+
+def write(path, text, encoding="utf-8"):
+    path.write_bytes(text.encode(encoding))
+    return str(path)
+
+
+def test_lenient_scan(spark, tmp_path):
+    path = write(tmp_path / "a.dat", "Id\tName \tURL\n1\ta\tu\n2\tb\n3\tc\tu\tx\n4\td\tu\t\n5\t\"e\tE\"\tu\n6\t\"f\tF\"\tu\tz\n")
+    rows = delimited.standard_names(delimited.lenient_scan(spark, path), {"id": "artist_id", "name": "artist"})
+    assert rows.columns == ["artist_id", "artist", "url"]
+    assert sorted(map(tuple, rows.collect())) == [("1", "a", "u"), ("2", "b", None), ("5", "e\tE", "u")]
+    # A narrow select must not let long rows through.
+    assert sorted(r[0] for r in rows.select("artist_id").collect()) == ["1", "2", "5"]
+
+
+def test_lenient_scan_with_schema_and_lines_in_quotes(spark, tmp_path):
+    path = write(tmp_path / "a.dat", 'id\tname\turl\tpictureURL\n1\t"two\nlines"\tu\tp\n')
+    rows = delimited.lenient_scan(spark, path, schemas.RAW_ARTISTS, multi_line=True)
+    assert [tuple(r) for r in rows.collect()] == [("1", "two\nlines", "u", "p")]
+
+
+def test_latin_1(spark, tmp_path):
+    path = write(tmp_path / "tags.dat", "tagID\ttagValue\n1\tcafé\n", "iso-8859-1")
+    rows = delimited.lenient_scan(spark, path, schemas.RAW_TAGS, encoding="ISO-8859-1")
+    assert rows.first()["tagValue"] == "café"
+
+
+@pytest.mark.parametrize("line", ["1\t2", "1\t2\t3\t4", "1\tx\t3"])
+def test_strict_scan_rejects(spark, tmp_path, line):
+    good = write(tmp_path / "good.dat", "userID\tartistID\tweight\n1\t2\t3\n")
+    assert tuple(delimited.strict_scan(spark, good, schemas.RAW_INTERACTIONS).first()) == (1, 2, 3.0)
+    bad = write(tmp_path / "bad.dat", f"userID\tartistID\tweight\n{line}\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|Malformed"):
+        delimited.strict_scan(spark, bad, schemas.RAW_INTERACTIONS).collect()
+
+
+def test_optional_table(spark, tmp_path):
+    absent = tables.optional_table(spark, str(tmp_path / "none"), schemas.RECORDING_MAP)
+    assert absent.schema == schemas.RECORDING_MAP and absent.isEmpty()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.read_table(spark, str(tmp_path / "none"))
+    tables.write_table(spark.range(3), str(tmp_path / "t"))
+    tables.append_table(spark.range(2), str(tmp_path / "t"))
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == 5
+
+
+def test_assert_not_null(spark):
+    ok = spark.createDataFrame([(1,)], "user_id long")
+    assert tables.assert_not_null(ok, "user_id").count() == 1
+    with pytest.raises(Exception, match="user_id is null"):
+        tables.assert_not_null(spark.createDataFrame([(None,)], "user_id long"), "user_id").collect()
+
+
+def test_export_is_sorted_over_its_files(spark, tmp_path):
+    df = spark.range(100).select((F.col("id") * 37 % 100).alias("k"), F.lit("v").alias("v")).repartition(5)
+    tables.export_csv(df, str(tmp_path / "out"), ["k"])
+    parts = sorted((tmp_path / "out").glob("part-*.csv"))
+    rows = [line for p in parts for line in p.read_text().splitlines() if line != "k,v"]
+    assert rows == [f"{i},v" for i in range(100)]
+
+
+def test_column_helpers(spark):
+    df = spark.createDataFrame([(1, "a", 2.0, 3.0)], "id long, name string, tfidf_a double, b double")
+    assert tables.lead_columns(df, ["b", "id"]).columns == ["b", "id", "name", "tfidf_a"]
+    assert tables.columns_with_prefix(df, "tfidf_") == ["tfidf_a"]
+    assert tables.numeric_columns(df, {"id"}) == ["tfidf_a", "b"]
+
+
+def test_payload_tags(values):
+    def names(*n):
+        return json.dumps({"toptags": {"tag": [{"name": x} for x in n]}})
+
+    items = [names("Rock", " ", "rock", "R&B"), '{"toptags":{"tag":{"name":"One"}}}', "{}", '{"toptags":{}}', "broken", None,
+             '{"toptags":{"tag":[{"other":1},{"name":"x"}]}}']
+    assert values(payloads.payload_tags, items) == [["rock", "r and b"], ["one"], [], [], [], [], ["x"]]
+
+
+def test_fallback_uses_successes_only(spark):
+    df = spark.createDataFrame(
+        [(" Abba ", '{"toptags":{"tag":{"name":"Pop"}}}', "ok"), ("x", "{}", "failed"), (" ", "{}", "ok")], schemas.TAG_PAYLOADS)
+    assert payloads.fallback_tags(df).collect() == [Row(artist_key="abba", tags=["pop"])]
+
+
+def test_tag_cache_round_trip(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    payloads.write_tag_cache(spark.createDataFrame([("a", ["x", "y"]), ("b", [])], schemas.TAG_CACHE), path)
+    (tmp_path / "cache" / "bad.json").write_text("not json\n[1]\n")
+    assert sorted(map(tuple, payloads.read_tag_cache(spark, path).collect())) == [("a", ["x", "y"]), ("b", [])]
+
+
+def test_audio_files(spark, tmp_path):
+    for name in ("12.wav", "7.wav", "notes.wav", "9.txt"):
+        (tmp_path / name).write_bytes(b"abc")
+    files = audio.audio_files(spark, str(tmp_path))
+    assert sorted(r[0] for r in files.select("musicnet_id").collect()) == [7, 12]
+    assert {bytes(r["content"]) for r in files.collect()} == {b"abc"}
