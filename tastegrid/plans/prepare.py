@@ -49,11 +49,11 @@ def split_step(spark: SparkSession, out: str) -> None:
 
 
 def train_table(spark: SparkSession, out: str) -> DataFrame:
-    return split.train_rows(spark.read.parquet(f"{out}/split"))
+    return split.train_rows(tables.read_table(spark, f"{out}/split", schemas.LABELLED_RATINGS))
 
 
 def test_table(spark: SparkSession, out: str) -> DataFrame:
-    return split.test_rows(spark.read.parquet(f"{out}/split"))
+    return split.test_rows(tables.read_table(spark, f"{out}/split", schemas.LABELLED_RATINGS))
 
 
 def overlap_step(spark: SparkSession, out: str) -> None:

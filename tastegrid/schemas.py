@@ -21,6 +21,7 @@ RECORDING_MAP = _table(
     artist_id=LONG, artist=STR, musicnet_id=LONG, composer_raw=STR, match_key=STR, match_type=STR
 )
 RATINGS = _table(user_id=LONG, artist_id=LONG, artist=STR, rating=DBL)
+LABELLED_RATINGS = T.StructType([*RATINGS.fields, T.StructField("is_test", T.BooleanType(), True)])
 TAG_PAYLOADS = _table(artist_key=STR, payload=STR, status=STR)
 TAG_CACHE = _table(artist_key=STR, tags=T.ArrayType(STR))
 EXTRACTION_ERRORS = _table(musicnet_id=LONG, error=STR)
