@@ -37,14 +37,11 @@ COMPOSER_ALIASES = {
     "sergei rachmaninoff": ["rachmaninoff", "rachmaninov"],
 }
 
-# Text patterns.  WHITESPACE names what a Unicode-aware \s matches.
-WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
-OUTER_WHITESPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-NOT_PRINTABLE_ASCII = r"[^\x20-\x7E]"
-TAG_BRACKETS_AND_QUOTES = r"[\[\]{}()<>\"'`]+"
-TAG_SEPARATORS = r"[/_|]+"
-TAG_OTHER = r"[^a-z0-9+\-\s]"
-TOKEN = r"\b[a-z0-9][a-z0-9+\-]*\b"
+# Text patterns.  WHITESPACE spells out what a Unicode-aware \s matches.
+WHITESPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+NOT_PRINTABLE_ASCII = r"[^\x20-\x7E]+"
+NOT_IN_TAG = r"[^a-z0-9+\-]+"
+TOKEN_EDGES = "+-"
 
 # Audio feature columns of one recording, in output order.
 AUDIO_FEATURES = [

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import constants as C
 
+_WHOLE_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 _NUMERIC_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
@@ -55,14 +56,11 @@ def no_nan(c: Column) -> Column:
 
 def coerce_id(c: Column) -> Column:
     """Text to long: bad text is null, ``12.0`` is 12, ``1.5`` is an error."""
-    number = F.when(F.regexp_like(c, F.lit(_NUMERIC_TEXT)), c)
-    wide = number.try_cast("double")
-    whole = F.when(wide == F.floor(wide), wide.cast("long"))
-    checked = F.when(
-        wide.isNotNull() & (wide != F.floor(wide)),
-        F.raise_error(F.concat(F.lit("id is not a whole number: "), c)).cast("long"),
-    ).otherwise(whole)
-    return F.coalesce(number.try_cast("long"), checked)
+    # The patterns come first: a cast that fails costs an exception per row.
+    digits = F.when(F.regexp_like(c, F.lit(_WHOLE_TEXT)), c.try_cast("long"))
+    wide = F.when(F.regexp_like(c, F.lit(_NUMERIC_TEXT)), c.try_cast("double"))
+    fraction = F.raise_error(F.concat(F.lit("id is not a whole number: "), c)).cast("long")
+    return F.coalesce(digits, F.when(wide == F.floor(wide), wide.cast("long")).when(wide.isNotNull(), fraction))
 
 
 def id_of(df: DataFrame, name: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.numbers import id_of
-from ..functions.text import cache_key, normalize_tag, tokens
+from ..functions.text import cache_key, normalize_tag, token_of
 
 
 def clean_vocabulary(tags: DataFrame) -> DataFrame:
@@ -90,5 +90,9 @@ def tag_documents(artists: DataFrame, tag_counts: DataFrame, fallback: DataFrame
 
 
 def tag_terms(documents: DataFrame, text: str = "tag_name", key: str = "artist_id") -> DataFrame:
-    """One row per term occurrence.  A term never spans two tags, so tags are cut one by one."""
-    return documents.select(key, F.explode(tokens(F.col(text))).alias("term")).filter(F.col("term").isNotNull())
+    """One row per term occurrence of normalised texts.
+
+    A term never spans two tags, so tags are cut one by one.
+    """
+    words = documents.select(key, F.explode(F.split(F.col(text), " ")).alias("word"))
+    return words.select(key, token_of(F.col("word")).alias("term")).filter(F.col("term") != "")

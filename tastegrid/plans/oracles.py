@@ -177,6 +177,10 @@ _WIDE = ",\n       ".join(
     f"round(coalesce(max(CASE WHEN term = '{t}' THEN tfidf END), 0), 6) AS tfidf_{t.replace('-', '_')}" for t in _TAG_TERMS
 )
 
+_NATION_TERMS = ["nation", *[str(i) for i in range(25)]]
+_NATION_WIDE = ", ".join(f"round(coalesce(max(CASE WHEN term = '{t}' THEN tfidf END), 0), 6) AS tfidf_{t}" for t in _NATION_TERMS)
+_VECTOR_WIDE = ", ".join(f"round(coalesce(any_value(embedding[{i}])::DOUBLE, 0), 6) AS audio_dim_{i}" for i in range(1, 65))
+
 _ROLLUP_COLUMNS = ", ".join(f"round(avg(embedding[{i}]::DOUBLE), 6) AS dim_{i}" for i in range(1, 65))
 _WORK = """work AS (SELECT o_orderkey AS musicnet_id, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS has_file
   FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'F'))"""
@@ -294,4 +298,11 @@ SELECT (SELECT count(*) FROM per_user) AS users, count(DISTINCT artist_id) AS it
        (SELECT median(n) FROM per_user) AS median_per_user FROM ratings""",
     "rating_histogram": f"""WITH {_RATINGS}
 SELECT floor(CAST(round_even(rating * 10000, 0) AS BIGINT) / 5000.0::DOUBLE) / 2::DOUBLE AS bin_start, count(*) AS n FROM ratings GROUP BY 1""",
+    "item_features": f"""WITH tagged AS (
+  SELECT DISTINCT l_partkey AS artist_id, {_tag('n_name')} AS tag_name FROM lineitem
+  JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey),
+docs AS (SELECT artist_id, string_agg(tag_name, ' ') AS doc FROM tagged GROUP BY 1),
+{_tfidf('artist_id', 'docs', '(SELECT count(*) FROM part)')}
+SELECT p_partkey AS artist_id, {_NATION_WIDE}, CASE WHEN any_value(vec_id) IS NULL THEN 0 ELSE 1 END::DOUBLE AS has_audio, {_VECTOR_WIDE}
+FROM part LEFT JOIN weights ON artist_id = p_partkey LEFT JOIN embeddings ON vec_id = p_partkey GROUP BY 1""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.numbers import coerce_id
-from ..operators import baselines, catalog, evaluate, extract, frames, quality, recommend, resume, rollup, split, tags, tfidf
+from ..operators import baselines, catalog, evaluate, extract, factorize, frames, quality, recommend, resume, rollup, split, tags, tfidf
 from ..operators.ratings import rate_interactions
 from ..session import materialize, scratch_path
 from ..sources import delimited, payloads
@@ -380,3 +380,47 @@ def dataset_stats(spark, d):
 @query
 def rating_histogram(spark, d):
     return evaluate.rating_histogram(_ratings(spark, d))
+
+
+def _item_features(spark, d):
+    """Parts with the terms of their tags and the vector of the same number."""
+    artists = s.part_catalog(spark, d)
+    counts = materialize(tags.tag_user_counts(
+        tags.clean_assignments(s.part_tag_assignments(spark, d)), tags.clean_vocabulary(s.part_tag_vocabulary(spark, d))), "tag-counts")
+    tf = materialize(tfidf.term_frequencies(tags.tag_terms(tags.tag_documents(artists, counts))), "tag-terms")
+    wide = tfidf.weights_wide(tags.tag_lists(artists, counts), tf, tfidf.vocabulary(tf))
+    audio = rollup.artist_rollup(s.vector_features(spark, d), s.part_vector_map(spark, d))
+    return factorize.item_features(artists, wide, audio)
+
+
+@query
+def item_features(spark, d):
+    out = _item_features(spark, d)
+    return out.select("artist_id", *[F.round(c, 6).alias(c) for c in out.columns if c != "artist_id"])
+
+
+@query
+def als_predictions(spark, d):
+    train, test = _sides(spark, d)
+    out = factorize.predict_factors(factorize.fit_factors(train), train, test)
+    return out.withColumnRenamed("mf", "prediction")
+
+
+def _hybrids(spark, d):
+    train, test = _sides(spark, d)
+    features = materialize(_item_features(spark, d), "item-features")
+    return train, test, factorize.hybrid_predictions(factorize.fit_factors(train), train, test, features)
+
+
+@query
+def hybrid_predictions(spark, d):
+    return _hybrids(spark, d)[2]
+
+
+@query
+def ablation_table(spark, d):
+    """All models on the same test rows."""
+    train, test, hybrids = _hybrids(spark, d)
+    means = baselines.predict_means(train, test).drop("rating")
+    joined = materialize(hybrids.join(means, ["user_id", "artist_id"]), "predictions")
+    return evaluate.ablation_table(joined, [*baselines.MODELS, "mf", *factorize.HYBRIDS])

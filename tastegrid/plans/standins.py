@@ -134,3 +134,21 @@ def vector_files(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(
         F.col("vec_id").alias("musicnet_id"),
         F.encode(F.when(F.col("label") == 9, F.concat(text, F.lit(",?"))).otherwise(text), "utf-8").alias("content"))
+
+
+def part_tag_vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as tags that read like their nation: many ids share a name."""
+    return table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("tag_id"), F.col("n_name").alias("tag_name"))
+
+
+def part_tag_assignments(spark: SparkSession, d: str) -> DataFrame:
+    """Customers tagging the parts they bought with the supplier."""
+    return order_lines(spark, d).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("artist_id"), F.col("l_suppkey").alias("tag_id"))
+
+
+def part_vector_map(spark: SparkSession, d: str) -> DataFrame:
+    """The vector with a part's number as that part's recording."""
+    return table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("musicnet_id"), F.col("vec_id").alias("artist_id"), F.lit("part").alias("artist"))
