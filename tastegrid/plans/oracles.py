@@ -88,6 +88,18 @@ top AS (SELECT user_id, CAST(position AS INTEGER) AS position, artist_id, pts /
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pts DESC, artist_id) AS position FROM unseen)
         WHERE position <= 10)"""
 
+_NEAR = f"""{_SPLIT},
+active AS (SELECT user_id FROM train GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 10),
+pts AS (SELECT user_id, artist_id, CAST(round_even(rating * 10000, 0) AS BIGINT) AS p FROM train),
+norms AS (SELECT user_id, sqrt(sum(p * p)::DOUBLE) AS norm FROM pts GROUP BY 1),
+dots AS (SELECT a.user_id, b.user_id AS neighbour_id, sum(a.p * b.p)::DOUBLE AS dot FROM pts a JOIN pts b USING (artist_id)
+         WHERE a.user_id IN (SELECT user_id FROM active) AND a.user_id <> b.user_id GROUP BY 1, 2),
+sims AS (SELECT d.user_id, neighbour_id, dot / (nb.norm * na.norm) AS similarity
+            FROM dots d JOIN norms na ON na.user_id = d.user_id JOIN norms nb ON nb.user_id = neighbour_id),
+near AS (SELECT user_id, CAST(position AS INTEGER) AS position, neighbour_id, similarity
+         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity DESC, neighbour_id) AS position FROM sims)
+         WHERE position <= 20)"""
+
 _CATALOG = f"""artists AS (
   SELECT s_suppkey AS artist_id, {_f1('s_name')} AS artist, 's' AS url FROM supplier
   UNION ALL SELECT c_custkey + {_BASE}, {_f1('c_mktsegment')}, 'c' FROM customer)"""
@@ -305,4 +317,11 @@ docs AS (SELECT artist_id, string_agg(tag_name, ' ') AS doc FROM tagged GROUP BY
 {_tfidf('artist_id', 'docs', '(SELECT count(*) FROM part)')}
 SELECT p_partkey AS artist_id, {_NATION_WIDE}, CASE WHEN any_value(vec_id) IS NULL THEN 0 ELSE 1 END::DOUBLE AS has_audio, {_VECTOR_WIDE}
 FROM part LEFT JOIN weights ON artist_id = p_partkey LEFT JOIN embeddings ON vec_id = p_partkey GROUP BY 1""",
+    "knn_user_cosine": f"WITH {_NEAR} SELECT user_id, position, neighbour_id, round(similarity, 6) AS similarity FROM near",
+    "knn_predictions": f"""WITH {_NEAR},
+weighted AS (SELECT n.user_id, t.artist_id, sum(similarity * rating) / sum(similarity) AS w
+             FROM near n JOIN train t ON t.user_id = n.neighbour_id GROUP BY 1, 2),
+own AS (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1)
+SELECT t.user_id, t.artist_id, t.rating, round(coalesce(w, m), 6) AS prediction
+FROM test t JOIN active USING (user_id) JOIN own USING (user_id) LEFT JOIN weighted USING (user_id, artist_id)""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.numbers import coerce_id
-from ..operators import baselines, catalog, evaluate, extract, factorize, frames, quality, recommend, resume, rollup, split, tags, tfidf
+from ..operators import baselines, catalog, evaluate, extract, factorize, frames, neighbours, quality, recommend, resume, rollup, split, tags, tfidf
 from ..operators.ratings import rate_interactions
 from ..session import materialize, scratch_path
 from ..sources import delimited, payloads
@@ -424,3 +424,21 @@ def ablation_table(spark, d):
     means = baselines.predict_means(train, test).drop("rating")
     joined = materialize(hybrids.join(means, ["user_id", "artist_id"]), "predictions")
     return evaluate.ablation_table(joined, [*baselines.MODELS, "mf", *factorize.HYBRIDS])
+
+
+def _neighbours(spark, d):
+    train, test = _sides(spark, d)
+    return train, test, neighbours.nearest_users(train, neighbours.most_active_users(train, 10))
+
+
+@query
+def knn_user_cosine(spark, d):
+    """The 20 nearest users, among all users, of the ten most active ones."""
+    return _neighbours(spark, d)[2].withColumn("similarity", F.round("similarity", 6))
+
+
+@query
+def knn_predictions(spark, d):
+    """Test rows of the ten most active users, predicted from their neighbours."""
+    train, test, near = _neighbours(spark, d)
+    return neighbours.predict_from_neighbours(train, near, test).withColumn("prediction", F.round("prediction", 6))
