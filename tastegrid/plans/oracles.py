@@ -194,6 +194,17 @@ _NATION_WIDE = ", ".join(f"round(coalesce(max(CASE WHEN term = '{t}' THEN tfidf
 _VECTOR_WIDE = ", ".join(f"round(coalesce(any_value(embedding[{i}])::DOUBLE, 0), 6) AS audio_dim_{i}" for i in range(1, 65))
 
 _ROLLUP_COLUMNS = ", ".join(f"round(avg(embedding[{i}]::DOUBLE), 6) AS dim_{i}" for i in range(1, 65))
+
+
+def _series(name: str, count: int, length: int, statistic: str, suffix: str) -> list[str]:
+    return [f"round(list_aggregate(v[{1 + i * length}:{(i + 1) * length}], '{statistic}'), 6) AS {name}_{i + 1}_{suffix}" for i in range(count)]
+
+
+_AUDIO = ",\n       ".join([
+    *_series("mfcc", 20, 3, "avg", "mean"), *_series("mfcc", 20, 3, "stddev_pop", "std"),
+    "round(v[61], 6) AS tempo", "round(list_aggregate(v, 'avg'), 6) AS rms_mean",
+    *_series("chroma", 12, 5, "avg", "mean"), *_series("contrast", 7, 9, "avg", "mean"),
+])
 _WORK = """work AS (SELECT o_orderkey AS musicnet_id, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS has_file
   FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'F'))"""
 _FRAMES = """frames AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
@@ -270,6 +281,9 @@ FROM enriched e LEFT JOIN weights w USING (artist_id) GROUP BY 1, 2""",
     "tfidf_documents": f"WITH {_DOC_TFIDF} SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM weights",
     "frame_stats": f"""WITH {_FRAMES}
 SELECT vec_id, n AS n_frames, round(first, 6) AS first_frame, round(m, 6) AS mean, round(sd, 6) AS std FROM summaries""",
+    "audio_features": f"""SELECT vec_id AS musicnet_id,
+       {_AUDIO}
+FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)""",
     "audio_rollup": f"""SELECT label::BIGINT AS artist_id, 'label ' || label AS artist,
        string_agg(DISTINCT vec_id::VARCHAR, ',' ORDER BY vec_id::VARCHAR) AS musicnet_ids, 0 AS ids_part, count(*) AS recording_count,
        {_ROLLUP_COLUMNS} FROM embeddings GROUP BY label""",

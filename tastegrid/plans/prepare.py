@@ -90,7 +90,8 @@ def tag_step(spark: SparkSession, raw: str, out: str) -> None:
 
 
 def artist_audio_step(spark: SparkSession, features: str, out: str, which: str) -> None:
-    found = tables.read_table(spark, f"{out}/recording_map", schemas.RECORDING_MAP)
+    """Roll one side's feature table up to artists; without a recording map the result is empty."""
+    found = tables.optional_table(spark, f"{out}/recording_map", schemas.RECORDING_MAP)
     tables.write_table(rollup.artist_rollup(spark.read.parquet(features), found), f"{out}/artist_audio_{which}")
 
 

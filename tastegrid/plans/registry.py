@@ -257,6 +257,13 @@ def frame_stats(spark, d):
     return out.select("vec_id", "n_frames", *[F.round(c, 6).alias(c) for c in ("first_frame", "mean", "std")])
 
 
+@query
+def audio_features(spark, d):
+    """The 61 summary columns of every vector."""
+    out = frames.audio_features(s.vector_frames(spark, d))
+    return out.select("musicnet_id", *[F.round(c, 6).alias(c) for c in out.columns if c != "musicnet_id"])
+
+
 @query
 def audio_rollup(spark, d):
     out = rollup.artist_rollup(s.vector_features(spark, d), s.vector_map(spark, d))

@@ -121,6 +121,17 @@ def vector_features(spark: SparkSession, d: str, dims: int = 64) -> DataFrame:
         *[F.element_at("embedding", i).cast("double").alias(f"dim_{i}") for i in range(1, dims + 1)])
 
 
+def vector_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors cut into the groups of series that make up a recording."""
+    def series(count: int, length: int) -> Column:
+        cut = [F.slice("embedding", 1 + i * length, length).cast("array<double>") for i in range(count)]
+        return F.array(*cut)
+
+    return table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("musicnet_id"), series(20, 3).alias("mfcc"), F.slice("embedding", 61, 2).alias("tempo"),
+        F.col("embedding").alias("rms"), series(12, 5).alias("chroma"), series(7, 9).alias("contrast"))
+
+
 def vector_map(spark: SparkSession, d: str) -> DataFrame:
     """The label of a vector as its artist."""
     return table(spark, d, "embeddings").select(

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import cache_key, distinct_in_order, normalize_tag
 from .. import schemas
+from ..functions.text import cache_key, distinct_in_order, normalize_tag
+from .tables import path_exists
 
 _MANY = "toptags struct<tag:array<struct<name:string>>>"
 _ONE = "toptags struct<tag:struct<name:string>>"
@@ -33,7 +34,12 @@ def fallback_tags(payloads: DataFrame) -> DataFrame:
 
 
 def read_tag_cache(spark: SparkSession, path: str) -> DataFrame:
-    """Key-to-tags table kept as JSON lines ``{"artist_key": ..., "tags": [...]}``; bad lines give no row."""
+    """Key-to-tags table kept as JSON lines ``{"artist_key": ..., "tags": [...]}``.
+
+    No file, no rows; a line that cannot be read gives no row.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schemas.TAG_CACHE)
     return (
         spark.read.schema(schemas.TAG_CACHE).option("mode", "PERMISSIVE").json(path)
         .filter(F.col("artist_key").isNotNull())

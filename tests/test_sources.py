@@ -92,6 +92,7 @@ def test_fallback_uses_successes_only(spark):
 
 def test_tag_cache_round_trip(spark, tmp_path):
     path = str(tmp_path / "cache")
+    assert payloads.read_tag_cache(spark, path).isEmpty()
     payloads.write_tag_cache(spark.createDataFrame([("a", ["x", "y"]), ("b", [])], schemas.TAG_CACHE), path)
     (tmp_path / "cache" / "bad.json").write_text("not json\n[1]\n")
     assert sorted(map(tuple, payloads.read_tag_cache(spark, path).collect())) == [("a", ["x", "y"]), ("b", [])]
