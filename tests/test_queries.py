@@ -7,7 +7,7 @@ from check import connect, same
 
 FOLDER = "/root/testdata/sf0.001"
 # Their column set follows the data: compared at the scale the SQL names.
-BY_SCALE = {"tfidf_wide": "/root/testdata/sf0.01"}
+BY_SCALE = {"tfidf_wide": "/root/testdata/sf0.01", "item_features": "/root/testdata/sf0.01"}
 
 
 @pytest.fixture(scope="module")
