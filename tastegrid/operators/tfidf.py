@@ -56,14 +56,17 @@ def weights_wide(documents: DataFrame, frequencies: DataFrame, terms: DataFrame,
                  keep: tuple[str, ...] = ("tags_raw",)) -> DataFrame:
     """One row per document with a ``tfidf_*`` column per term, 0.0 where it has none.
 
-    Only the term names (at most ``max_terms``) come to the driver.  Weights and norm come out of
-    one aggregate per document.
+    Only the terms (at most ``max_terms`` rows) come to the driver; they name the columns and are
+    not computed a second time for the weights.  Weights and norm come out of one aggregate per
+    document.
     """
-    names = sorted(r["term"] for r in terms.select("term").collect())
-    if not names:
+    kept = sorted((r["term"], r["df"]) for r in terms.select("term", "df").collect())
+    if not kept:
         raise ValueError("no term occurs in enough documents")
+    names = [term for term, _ in kept]
     columns = feature_names(names)
-    raw = _raw_weights(frequencies, terms, count_rows(documents))
+    local = documents.sparkSession.createDataFrame(kept, "term string, df long")
+    raw = _raw_weights(frequencies, local, count_rows(documents))
     cells = raw.groupBy(key).agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
         *[F.max(F.when(F.col("term") == t, F.col("w"))).alias(columns[t]) for t in names],
