@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MIN_ROWS = 2_000_000
 MAX_HEAVY = 50_000
 
@@ -72,3 +74,38 @@ def rank_in_group(df: DataFrame, keys: list[str], order_by: list[Column], positi
         F.coalesce("group_rows", "rows_in_slice").alias("size_of_group"),
     )
     return out.withColumnRenamed("size_of_group", size) if size else out.drop("size_of_group")
+
+
+# --- slices by range: the same way at every size ------------------------------------------------
+
+
+def store_slices(df: DataFrame, keys: list[str], order_by: list[Column], label: str) -> DataFrame:
+    """``df`` in range partitions of (keys, order), stored once, with the partition number as ``slice``.
+
+    The partitions are cut by sampled quantiles, so a large group spans several of them whatever
+    its values; only rows equal in keys and order stay together.  Stored, because a second
+    evaluation may cut elsewhere.
+    """
+    cut = df.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys], *order_by)
+    return materialize(cut.withColumn("slice", F.spark_partition_id()), label)
+
+
+def running_total(sliced: DataFrame, keys: list[str], order_by: list[Column], value: Column, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``value`` (whole numbers) over the rows of the group before this one.
+
+    Each slice is summed by its own task; groups that began in an earlier slice get the total of
+    those slices added.  At most one group of a slice began earlier, so the broadcast side has
+    fewer rows than there are slices.
+    """
+    part = [*keys, "slice"]
+    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        sliced.groupBy(*part).agg(F.sum(value).alias("_total"))
+        .withColumn("_offset", F.sum("_total").over(earlier)).filter(F.col("_offset").isNotNull())
+        .select(*[F.col(c).alias(f"_of_{c}") for c in part], "_offset")
+    )
+    inside = Window.partitionBy(*part).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    summed = sliced.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    same = [summed[c].eqNullSafe(F.col(f"_of_{c}")) for c in part]
+    return summed.join(F.broadcast(offsets), same, "left").select(
+        *sliced.columns, (F.col(name) + F.coalesce("_offset", F.lit(0))).alias(name))
