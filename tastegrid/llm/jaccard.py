@@ -13,8 +13,8 @@ at any order; the order puts tokens that many documents share last, so that comm
 not lead buckets.  A pair need only be found at its first common token, which gives the position test.
 
 Equal sets are one class from the start.  Links are needed for components only, so there are two
-rounds: in the first, each member of a bucket names its nearest candidate and the bucket's hub,
-the member with most candidates; what is verified there joins classes to components.  In the
+rounds: in the first, each member of a bucket names its nearest candidate and the one of least
+number, mostly the same ones in every bucket; what is verified there joins classes to components.  In the
 second, all candidate pairs of different components are verified, whatever their number; pairs
 inside a component could change nothing.  Buckets are cut into blocks of ``BLOCK`` members; the second
 round meets every pair of blocks, so no bucket is too large for a task and no pair is left out.
@@ -163,7 +163,7 @@ def _bucket_pairs(bucket: dict[str, np.ndarray], rounds: int, percent: int) -> l
     """Pairs of rows of one bucket (or of two blocks of it) to be verified."""
     ids, sizes, places, label, side = (bucket[c] for c in ("class", "n", "place", "label", "side"))
     tree = CountTree(bucket["vector"], sizes)
-    found, degree = {}, np.zeros(len(ids), dtype=np.int64)
+    found = {}
     for i in range(len(ids)):
         near, bound = tree.candidates(bucket["vector"][i], int(sizes[i]), percent)
         need = needed_overlap(sizes[near], int(sizes[i]), percent)
@@ -172,17 +172,29 @@ def _bucket_pairs(bucket: dict[str, np.ndarray], rounds: int, percent: int) -> l
             keep &= (side[near] != side[i]) | (side[i] == 2)
             keep &= ids[near] > ids[i]
         found[i] = (near[keep], bound[keep] / (sizes[near[keep]] + sizes[i]))
-        degree[near[keep]] += 1
     if rounds == 2:
         return [(i, int(j)) for i, (near, _) in found.items() for j in near]
     pairs = set()
     for i, (near, score) in found.items():
         if len(near):
-            for j in {int(near[np.argmax(score)]), int(near[np.argmax(degree[near])])}:
+            for j in {int(near[np.argmax(score)]), int(near[np.argmin(ids[near])])}:
                 pairs.add((min(i, j), max(i, j)))
     return sorted(pairs)
 
 
+def _two_by_two(rows: dict[str, np.ndarray], at: np.ndarray, rounds: int, percent: int) -> list[tuple[int, int]]:
+    """The same for all buckets of two rows at once, which are most; they start at ``at``."""
+    keep = rows["label"][at] != rows["label"][at + 1]
+    if rounds == 2:
+        keep &= (rows["side"][at] != rows["side"][at + 1]) | (rows["side"][at] == 2)
+    at = at[keep]
+    need = needed_overlap(rows["n"][at].astype(np.int64), rows["n"][at + 1], percent)
+    keep = np.minimum(rows["n"][at] - rows["place"][at], rows["n"][at + 1] - rows["place"][at + 1]) >= need
+    at, need = at[keep], need[keep]
+    bound = np.minimum(rows["vector"][at], rows["vector"][at + 1]).sum(axis=1, dtype=np.int64)
+    return [(i, i + 1) for i in at[bound >= need].tolist()]
+
+
 def _search(rows: DataFrame, rounds: int, percent: int) -> DataFrame:
     """``(a, b)`` with a < b from rows (token, cell, class, n, place, label, side, vector), one tree per (token, cell)."""
     names = ["class", "n", "place", "label", "side"]
@@ -200,10 +212,11 @@ def _search(rows: DataFrame, rounds: int, percent: int) -> DataFrame:
             whole = rest.slice(0, int(edges[-1]))
             columns = {c: whole[c].to_numpy() for c in names}
             columns["vector"] = np.frombuffer(b"".join(whole["vector"].to_pylist()), dtype=np.uint16).reshape(whole.num_rows, -1)
-            pairs = []
-            for start, end in zip(edges[:-1], edges[1:]):
+            length = np.diff(edges)
+            pairs = _two_by_two(columns, edges[:-1][length == 2], rounds, percent)
+            for start, end in zip(edges[:-1][length > 2].tolist(), edges[1:][length > 2].tolist()):
                 part = {c: v[start:end] for c, v in columns.items()}
-                pairs += [(int(start) + i, int(start) + j) for i, j in _bucket_pairs(part, rounds, percent)] if end - start > 1 else []
+                pairs += [(start + i, start + j) for i, j in _bucket_pairs(part, rounds, percent)]
             if pairs:
                 at = np.array(pairs)
                 one, two = columns["class"][at[:, 0]], columns["class"][at[:, 1]]
