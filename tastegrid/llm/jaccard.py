@@ -47,6 +47,7 @@ FANOUT = 16
 COMMON_ROWS = 1 << 22
 COMMON_SHARE = 0.002
 MAX_COMMON = 100_000
+FILTER_WORDS = 1 << 20
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -325,19 +326,36 @@ def _prefix_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token long, class long, n int, place int")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of the stored pairs (a, b) those similar enough, by their sets."""
+def _filter_words(ids: DataFrame, column: str) -> np.ndarray:
+    """Bit set of ``FILTER_WORDS`` 64-bit words with the bit of each id set; the ids are hashes themselves."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(column, 58).cast("int"))
+    found = ids.groupBy(F.pmod(F.col(column), F.lit(FILTER_WORDS)).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    words = np.zeros(FILTER_WORDS, dtype=np.int64)
+    words[found["word"]] = found["bits"]
+    return words.view(np.uint64)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of the stored pairs (a, b) those similar enough, by their sets.
+
+    Sets are computed anew where the texts are read, and only those of classes in the pairs move: a
+    bit set of the wanted classes (8 MB at any number of them) turns away the rest, false hits go in
+    the join.
+    """
     wanted = pairs.select(F.col("a").alias("d1")).union(pairs.select("b")).distinct()
-    chosen = classes.join(wanted, "d1", "left_semi").select(F.coalesce("rep", F.lit(-(2**63))).alias("key"), "d1")
-    texts = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("key"), "text").join(chosen, "key", "left_semi")
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_words(wanted, "d1"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            sets = [s for s in (shingle_set(t, width) for t in batch.column("text").to_pylist()) if len(s)]
+            keys = np.array([digest(s)[0] for s in sets], dtype=np.int64)
+            hit = (bits.value[keys % FILTER_WORDS] >> (keys.view(np.uint64) >> _U(58))) & _U(1)
+            chosen = dict(zip(keys[hit > 0].tolist(), [s for s, h in zip(sets, hit) if h]))
             yield pa.RecordBatch.from_arrays([
-                pa.array([digest(s)[0] for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["d1", "tokens"])
+                pa.array(list(chosen), pa.int64()), pa.array([s.view(np.int64) for s in chosen.values()], pa.list_(pa.int64()))], ["d1", "tokens"])
 
-    sets = materialize(texts.select("text").mapInArrow(run, "d1 long, tokens array<long>").join(wanted, "d1", "left_semi").dropDuplicates(["d1"]), "jaccard-sets")
+    sets = docs.select("text").mapInArrow(run, "d1 long, tokens array<long>").join(wanted, "d1", "left_semi").dropDuplicates(["d1"])
+    sets = materialize(sets, "jaccard-sets")
     both = pairs.join(sets.select(F.col("d1").alias("b"), F.col("tokens").alias("b_set")), "b").join(
         sets.select(F.col("d1").alias("a"), F.col("tokens").alias("a_set")), "a")
     shared = F.size(F.array_intersect("a_set", "b_set"))
@@ -393,7 +411,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
     first = _blocks(rows.withColumn("label", F.col("class")), 1, block).join(vectors, "class")
     pairs = materialize(_search(first, 1, percent).distinct(), "jaccard-near")
-    links = materialize(_verified(pairs, classes, docs, width, percent), "jaccard-links")
+    links = materialize(_verified(pairs, docs, width, percent), "jaccard-links")
     roots = materialize(components(links), "jaccard-roots")
 
     labelled = rows.join(roots.withColumnRenamed("id", "class"), "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
@@ -401,7 +419,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     mixed = labelled.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l != m").select("token")
     second = _blocks(labelled.join(mixed, "token", "left_semi"), 2, block).join(vectors, "class")
     more = materialize(_search(second, 2, percent).distinct().join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
-    all_links = links.union(_verified(more, classes, docs, width, percent))
+    all_links = links.union(_verified(more, docs, width, percent))
     roots = components(all_links)
 
     # Least doc_id of each component, by class first.
