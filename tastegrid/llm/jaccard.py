@@ -3,7 +3,7 @@
 A document's set is its distinct word shingles.  The shingles are hashed into ``GROUPS`` groups; how
 many fall into each is a point.  Two sets overlap in at most the sum of the coordinate minima of
 their points, and a box of an R-tree bounds that for all its points by its upper corner.  Pairs
-whose bound reaches the overlap that the similarity needs are verified on the sets themselves.
+whose bound reaches the overlap that the similarity needs are bounded once more by vectors of ``FINE_GROUPS`` groups and then verified on the sets themselves.
 
 The trees are partitioned, because one tree over a whole corpus prunes nothing (in so many
 dimensions every box covers the middle) and would be quadratic.  Two sets of similarity s share a
@@ -43,11 +43,13 @@ WIDTH = 5
 PERCENT = 80
 GROUPS = 128
 BLOCK = 2048
+FINE_GROUPS = 1024
 FANOUT = 16
+ONE_LEAF = 48
 COMMON_ROWS = 1 << 22
 COMMON_SHARE = 0.002
 MAX_COMMON = 100_000
-FILTER_WORDS = 1 << 20
+FILTER_WORDS = 1 << 18
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -114,10 +116,10 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
     return int(both[0]), int(both[1])
 
 
-def count_vector(tokens: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+def count_vector(tokens: np.ndarray, groups: int = GROUPS, kind: type = np.uint16) -> np.ndarray:
     """Tokens in each group; if a count overflows, every coordinate is the greatest number, which bounds nothing."""
-    counts = np.bincount((tokens & _U(groups - 1)).astype(np.int64), minlength=groups)
-    return np.minimum(counts, 65535).astype(np.uint16) if counts.max() < 65535 else np.full(groups, 65535, dtype=np.uint16)
+    counts, most = np.bincount((tokens & _U(groups - 1)).astype(np.int64), minlength=groups), np.iinfo(kind).max
+    return counts.astype(kind) if counts.max() < most else np.full(groups, most, dtype=kind)
 
 
 def needed_overlap(a, b, percent: int = PERCENT):
@@ -163,16 +165,24 @@ class CountTree:
 def _bucket_pairs(bucket: dict[str, np.ndarray], rounds: int, percent: int) -> list[tuple[int, int]]:
     """Pairs of rows of one bucket (or of two blocks of it) to be verified."""
     ids, sizes, places, label, side = (bucket[c] for c in ("class", "n", "place", "label", "side"))
-    tree = CountTree(bucket["vector"], sizes)
+    vectors, sizes = bucket["vector"], sizes.astype(np.int64)
+    left = sizes - places
+    if len(ids) <= ONE_LEAF:
+        bounds = np.minimum(vectors[:, None], vectors[None]).sum(axis=2, dtype=np.int64)
+        near = [(np.flatnonzero(r), b[r]) for r, b in zip(bounds >= needed_overlap(sizes[:, None], sizes[None], percent), bounds)]
+    else:
+        tree = CountTree(vectors, sizes)
+        near = (tree.candidates(vectors[i], int(sizes[i]), percent) for i in range(len(ids)))
     found = {}
-    for i in range(len(ids)):
-        near, bound = tree.candidates(bucket["vector"][i], int(sizes[i]), percent)
-        need = needed_overlap(sizes[near], int(sizes[i]), percent)
-        keep = (label[near] != label[i]) & (np.minimum(sizes[near] - places[near], sizes[i] - places[i]) >= need)
+    for i, (js, bound) in enumerate(near):
+        keep = label[js] != label[i]
+        if not keep.any():
+            continue
+        keep &= np.minimum(left[js], left[i]) >= needed_overlap(sizes[js], int(sizes[i]), percent)
         if rounds == 2:  # sides 0 and 1 are two blocks: only pairs between them; a block by itself has side 2
-            keep &= (side[near] != side[i]) | (side[i] == 2)
-            keep &= ids[near] > ids[i]
-        found[i] = (near[keep], bound[keep] / (sizes[near[keep]] + sizes[i]))
+            keep &= (side[js] != side[i]) | (side[i] == 2)
+            keep &= ids[js] > ids[i]
+        found[i] = (js[keep], bound[keep] / (sizes[js[keep]] + sizes[i]))
     if rounds == 2:
         return [(i, int(j)) for i, (near, _) in found.items() for j in near]
     pairs = set()
@@ -240,45 +250,48 @@ def _with_last(batches):
 
 
 def _described(docs: DataFrame, width: int, groups: int) -> DataFrame:
-    """``(doc_id, n, d1, d2, vector)`` of every row; the vector of an empty set is null."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
-            keys = np.array([digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
-                pa.array([count_vector(s, groups).tobytes() if len(s) else None for s in sets], pa.binary())],
-                ["doc_id", "n", "d1", "d2", "vector"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, vector binary")
+    """``(doc_id, n, d1, d2, vector, fine)`` of every row, vectors of empty sets null; and tokens that many documents share.
 
-
-def common_tokens(docs: DataFrame, width: int = WIDTH, share: float = COMMON_SHARE, most: int = MAX_COMMON) -> np.ndarray:
-    """Tokens that many documents share, the most frequent last; they come last in the token order.
-
-    Each task counts its tokens, ``COMMON_ROWS`` at a time, and names those in more than ``share`` of the
-    documents it has read meanwhile (and in eight at least); the ``most`` most frequent of them are
-    kept (0.8 MB).  Any order gives right results, so nothing depends on what is missed here.
+    Each task counts its tokens, ``COMMON_ROWS`` at a time, and names those in more than ``COMMON_SHARE`` of
+    the documents it has read meanwhile (and in eight at least), in rows with ``token`` and the count ``n``.
     """
+    names = ["doc_id", "n", "d1", "d2", "vector", "fine", "token"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, n_docs = [], 0, 0
 
         def counted():
             tokens, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= max(8, share * n_docs)
-            return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["token", "n"])
+            often = n >= max(8, COMMON_SHARE * n_docs)
+            none = [pa.nulls(int(often.sum()), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+            return pa.RecordBatch.from_arrays([none[0], pa.array(n[often].astype(np.int64)), *none[1:], pa.array(tokens[often].view(np.int64))], names)
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.append(shingle_set(text, width))
-                rows, n_docs = rows + len(held[-1]), n_docs + 1
+            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            keys = np.array([digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
+                pa.array([count_vector(s, groups).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([count_vector(s, FINE_GROUPS, np.uint8).tobytes() if len(s) else None for s in sets], pa.binary()), pa.nulls(len(sets), pa.int64())], names)
+            for tokens in sets:
+                held.append(tokens)
+                rows, n_docs = rows + len(tokens), n_docs + 1
                 if rows >= COMMON_ROWS:
                     yield counted()
                     held, rows, n_docs = [], 0, 0
         if held:
             yield counted()
 
-    named = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "doc_id long, n long, d1 long, d2 long, vector binary, fine binary, token long")
+
+
+def common_tokens(described: DataFrame, most: int = MAX_COMMON) -> np.ndarray:
+    """The ``most`` most frequent of the named tokens (0.8 MB), the most frequent last; they come last in the token order.
+
+    Any order gives right results, so nothing depends on what is missed here.
+    """
+    named = described.filter("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
     top = named.orderBy(F.desc("n"), "token").limit(most).toPandas()
     return top["token"].to_numpy(dtype=np.int64).view(np.uint64)[::-1].copy()
 
@@ -297,9 +310,9 @@ def prefix(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np
     return np.concatenate((rare, common[np.sort(by_value[place[is_common]])]))[:wanted]
 
 
-def _prefix_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _prefix_rows(docs: DataFrame, order: np.ndarray, width: int, percent: int) -> DataFrame:
     """``(token, class, n, place)``, one row for each leading token of each class seen by a task."""
-    common = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, width))
+    common = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -326,35 +339,55 @@ def _prefix_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token long, class long, n int, place int")
 
 
-def _filter_words(ids: DataFrame, column: str) -> np.ndarray:
-    """Bit set of ``FILTER_WORDS`` 64-bit words with the bit of each id set; the ids are hashes themselves."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(column, 58).cast("int"))
-    found = ids.groupBy(F.pmod(F.col(column), F.lit(FILTER_WORDS)).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    words = np.zeros(FILTER_WORDS, dtype=np.int64)
-    words[found["word"]] = found["bits"]
-    return words.view(np.uint64)
+def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the finer count vectors leave."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for c in ("a_fine", "b_fine"))
+            a, b, n, m = (batch.column(c).to_numpy() for c in ("a", "b", "a_n", "b_n"))
+            bound = np.minimum(one, two).sum(axis=1, dtype=np.int64)
+            # A vector that overflowed is as large as the other.
+            bound = np.where((one[:, 0] == 255) | (two[:, 0] == 255), np.minimum(n, m), bound)
+            keep = bound >= needed_overlap(n, m, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+
+    for side in "ab":
+        pairs = pairs.join(vectors.select(F.col("class").alias(side), F.col("n").alias(f"{side}_n"), F.col("fine").alias(f"{side}_fine")), side)
+    return pairs.select("a", "b", "a_n", "b_n", "a_fine", "b_fine").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of the stored pairs (a, b) those similar enough, by their sets.
+def _possible(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Texts of the documents in ``reps``, and a few others, without a shuffle: one bit for each id's hash.
 
-    Sets are computed anew where the texts are read, and only those of classes in the pairs move: a
-    bit set of the wanted classes (8 MB at any number of them) turns away the rest, false hits go in
-    the join.
+    The bits are at most ``FILTER_WORDS`` rows at any number of ids; more ids only let more texts through.
     """
+    def word(key):
+        return F.pmod(key, F.lit(FILTER_WORDS)).cast("int")
+
+    def bit(key):
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(key, 58).cast("int"))
+
+    def key(doc_id):
+        return F.xxhash64(F.coalesce(doc_id, F.lit(-(2**63))))
+
+    bits = reps.groupBy(word(key(F.col("rep"))).alias("word")).agg(F.bit_or(bit(key(F.col("rep")))).alias("bits"))
+    hashed = docs.select(key(F.col("doc_id").cast("long")).alias("key"), "text")
+    return hashed.join(F.broadcast(bits), word(F.col("key")) == F.col("word")).filter(F.col("bits").bitwiseAND(bit(F.col("key"))) != 0).select("text")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of the stored pairs (a, b) those similar enough, by their sets, which are computed anew for these classes only."""
     wanted = pairs.select(F.col("a").alias("d1")).union(pairs.select("b")).distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_words(wanted, "d1"))
+    texts = _possible(docs, classes.join(wanted, "d1", "left_semi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for s in (shingle_set(t, width) for t in batch.column("text").to_pylist()) if len(s)]
-            keys = np.array([digest(s)[0] for s in sets], dtype=np.int64)
-            hit = (bits.value[keys % FILTER_WORDS] >> (keys.view(np.uint64) >> _U(58))) & _U(1)
-            chosen = dict(zip(keys[hit > 0].tolist(), [s for s, h in zip(sets, hit) if h]))
+            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            chosen = {digest(s)[0]: s for s in sets if len(s)}
             yield pa.RecordBatch.from_arrays([
                 pa.array(list(chosen), pa.int64()), pa.array([s.view(np.int64) for s in chosen.values()], pa.list_(pa.int64()))], ["d1", "tokens"])
 
-    sets = docs.select("text").mapInArrow(run, "d1 long, tokens array<long>").join(wanted, "d1", "left_semi").dropDuplicates(["d1"])
+    sets = texts.mapInArrow(run, "d1 long, tokens array<long>").join(wanted, "d1", "left_semi").dropDuplicates(["d1"])
     sets = materialize(sets, "jaccard-sets")
     both = pairs.join(sets.select(F.col("d1").alias("b"), F.col("tokens").alias("b_set")), "b").join(
         sets.select(F.col("d1").alias("a"), F.col("tokens").alias("a_set")), "a")
@@ -400,26 +433,28 @@ def _blocks(rows: DataFrame, rounds: int, block: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, groups: int = GROUPS, block: int = BLOCK) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``."""
-    described = materialize(_described(docs, width, groups), "jaccard-docs")
+    stored = materialize(_described(docs, width, groups), "jaccard-docs")
+    described = stored.filter("token IS NULL").drop("token")
     filled = described.filter("n > 0")
     classes = materialize(filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-    vectors = filled.groupBy(F.col("d1").alias("class")).agg(F.first("vector").alias("vector"))
+    vectors = filled.groupBy(F.col("d1").alias("class")).agg(F.first("n").alias("n"), F.first("vector").alias("vector"), F.first("fine").alias("fine"))
 
     by_token = Window.partitionBy("token")
-    rows = _prefix_rows(docs, width, percent).repartition("token").dropDuplicates(["token", "class"])
+    rows = _prefix_rows(docs, common_tokens(stored), width, percent).repartition("token").dropDuplicates(["token", "class"])
     rows = materialize(rows.withColumn("members", F.count(F.lit(1)).over(by_token)).filter("members > 1"), "jaccard-rows")
 
-    first = _blocks(rows.withColumn("label", F.col("class")), 1, block).join(vectors, "class")
-    pairs = materialize(_search(first, 1, percent).distinct(), "jaccard-near")
-    links = materialize(_verified(pairs, docs, width, percent), "jaccard-links")
+    first = _blocks(rows.withColumn("label", F.col("class")), 1, block).join(vectors.select("class", "vector"), "class")
+    pairs = materialize(_bounded(_search(first, 1, percent).distinct(), vectors, percent), "jaccard-near")
+    links = materialize(_verified(pairs, classes, docs, width, percent), "jaccard-links")
     roots = materialize(components(links), "jaccard-roots")
 
     labelled = rows.join(roots.withColumnRenamed("id", "class"), "class", "left").withColumn("label", F.coalesce("root", "class")).drop("root")
     # Tokens whose members are not all of one component yet.
     mixed = labelled.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l != m").select("token")
-    second = _blocks(labelled.join(mixed, "token", "left_semi"), 2, block).join(vectors, "class")
-    more = materialize(_search(second, 2, percent).distinct().join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
-    all_links = links.union(_verified(more, docs, width, percent))
+    second = _blocks(labelled.join(mixed, "token", "left_semi"), 2, block).join(vectors.select("class", "vector"), "class")
+    rest = _search(second, 2, percent).distinct().join(pairs, ["a", "b"], "left_anti")
+    more = materialize(_bounded(rest, vectors, percent), "jaccard-rest")
+    all_links = links.union(_verified(more, classes, docs, width, percent))
     roots = components(all_links)
 
     # Least doc_id of each component, by class first.
