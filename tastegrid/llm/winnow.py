@@ -121,7 +121,7 @@ def _with_guests(docs: DataFrame) -> DataFrame:
     rows = docs.select(place.alias("place"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.filter(F.col("doc_id").isNotNull()).approxQuantile("place", [i / buckets for i in range(1, buckets)], 1 / (8 * buckets))
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    edges = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=edges, inputCol="place", outputCol="bucket").transform(rows)
     bucketed = bucketed.withColumn("bucket", F.col("bucket").cast("int"))
     firsts = sorted((r["bucket"], r["place"]) for r in bucketed.groupBy("bucket").agg(F.max("place").alias("place")).collect())
