@@ -1,12 +1,9 @@
-"""Ranking inside groups that may be too large for one task.
+"""Ranks and running sums inside groups that may be too large for one task.
 
 A window sorts each group in a single task.  When one group holds a large share of the table that
-task never ends, so groups above a limit are cut into consecutive slices: each slice is ranked by
-its own task and the sizes of the slices before it are added.  The result is the exact rank.
-
-Bounds.  A group is cut when it has more than ``limit = max(min_rows, total / max_heavy)`` rows, so
-there are fewer than ``max_heavy`` such groups and fewer than ``2 * max_heavy`` slices whatever the
-data: these two small tables are what is broadcast.
+task never ends, so rows are cut by sampled quantiles of (group, order) into slices, each slice is
+summed by its own task, and the totals of the slices before it are added.  It is the same way at
+every size and for any distribution of the values.
 """
 
 from __future__ import annotations
@@ -16,68 +13,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-MIN_ROWS = 2_000_000
-MAX_HEAVY = 50_000
-
-
-def heavy_groups(df: DataFrame, keys: list[str], min_rows: int = MIN_ROWS, max_heavy: int = MAX_HEAVY) -> DataFrame:
-    """``(keys, group_rows, slices)`` of the groups above the limit; fewer than ``max_heavy`` rows."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-    total = sizes.agg(F.sum("group_rows").alias("total")).scalar()
-    limit = F.greatest(F.lit(min_rows), F.ceil(F.coalesce(total, F.lit(0)) / max_heavy))
-    return (
-        sizes.withColumn("limit", limit)
-        .filter(F.col("group_rows") > F.col("limit"))
-        .select(*keys, "group_rows", F.ceil(F.col("group_rows") / F.col("limit")).alias("slices"))
-    )
-
-
-def slice_heavy(df: DataFrame, heavy: DataFrame, keys: list[str], position: Column) -> DataFrame:
-    """Add ``slice``: 0 for ordinary groups, ``0 .. slices-1`` by ``position`` for heavy ones."""
-    cut = F.least(F.floor(position * F.col("slices")), F.col("slices") - 1).cast("int")
-    return (
-        df.join(F.broadcast(heavy), keys, "left")
-        .withColumn("slice", F.when(F.col("slices").isNotNull(), F.greatest(cut, F.lit(0))).otherwise(F.lit(0)))
-        .drop("slices")
-    )
-
-
-def rank_in_group(df: DataFrame, keys: list[str], order_by: list[Column], position: Column, rank: str = "rank",
-                  size: str | None = None, min_rows: int = MIN_ROWS, max_heavy: int = MAX_HEAVY) -> DataFrame:
-    """Add the 1-based rank inside the group, and the group's row count as ``size`` if named.
-
-    ``position`` in ``[0, 1)`` must not decrease along ``order_by``; it only says where heavy
-    groups are cut, ties at a cut must fall into one slice.  ``df`` is read up to three times, so
-    hand in a stored table rather than a long plan.
-    """
-    keys = list(keys)
-    heavy = heavy_groups(df, keys, min_rows, max_heavy)
-    sliced = slice_heavy(df, heavy, keys, position)
-
-    # Sizes of the slices of heavy groups only, and the rows before each of them.
-    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.filter(F.col("group_rows").isNotNull())
-        .groupBy(*keys, "slice").agg(F.count(F.lit(1)).alias("slice_rows"))
-        .select(*keys, "slice", F.sum("slice_rows").over(before).alias("rows_before"))
-    )
-
-    part = Window.partitionBy(*keys, "slice")
-    ranked = (
-        sliced.withColumn("rank_in_slice", F.row_number().over(part.orderBy(*order_by)))
-        .withColumn("rows_in_slice", F.count(F.lit(1)).over(part))
-        .join(F.broadcast(offsets), [*keys, "slice"], "left")
-    )
-    out = ranked.select(
-        *df.columns,
-        (F.col("rank_in_slice").cast("long") + F.coalesce("rows_before", F.lit(0))).alias(rank),
-        F.coalesce("group_rows", "rows_in_slice").alias("size_of_group"),
-    )
-    return out.withColumnRenamed("size_of_group", size) if size else out.drop("size_of_group")
-
-
-# --- slices by range: the same way at every size ------------------------------------------------
-
 
 def store_slices(df: DataFrame, keys: list[str], order_by: list[Column], label: str) -> DataFrame:
     """``df`` in range partitions of (keys, order), stored once, with the partition number as ``slice``.
@@ -109,3 +44,17 @@ def running_total(sliced: DataFrame, keys: list[str], order_by: list[Column], va
     same = [summed[c].eqNullSafe(F.col(f"_of_{c}")) for c in part]
     return summed.join(F.broadcast(offsets), same, "left").select(
         *sliced.columns, (F.col(name) + F.coalesce("_offset", F.lit(0))).alias(name))
+
+
+def rank_in_group(df: DataFrame, keys: list[str], order_by: list[Column], rank: str = "rank", size: str | None = None,
+                  label: str = "ranked") -> DataFrame:
+    """Add the 1-based rank inside the group, and the group's row count as ``size`` if named.
+
+    Keys are not null.  Counts are partial aggregates; the join that brings them back is left to
+    adaptive execution, which splits a hot key.
+    """
+    sliced = store_slices(df, keys, order_by, label)
+    ranked = running_total(sliced, keys, order_by, F.lit(1), "_before").select(*df.columns, (F.col("_before") + 1).cast("long").alias(rank))
+    if size is None:
+        return ranked
+    return ranked.join(sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)), keys)

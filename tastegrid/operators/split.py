@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .skew import MAX_HEAVY, MIN_ROWS, rank_in_group
+from .skew import rank_in_group
 
 
 def shuffle_key(seed: int = C.SPLIT_SEED) -> Column:
@@ -14,18 +14,14 @@ def shuffle_key(seed: int = C.SPLIT_SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("user_id").cast("string"), F.col("artist_id").cast("string")))
 
 
-def label_split(ratings: DataFrame, test_share: float = C.TEST_SHARE, seed: int = C.SPLIT_SEED,
-                min_rows: int = MIN_ROWS, max_heavy: int = MAX_HEAVY) -> DataFrame:
+def label_split(ratings: DataFrame, test_share: float = C.TEST_SHARE, seed: int = C.SPLIT_SEED) -> DataFrame:
     """Ratings plus ``is_test``.
 
     A user with ``n`` rows gives ``max(1, round(share * n))`` of them to test, a user with fewer
-    than two gives none.  Users with a very large share of the table are ranked in slices of the
-    hash, which is uniform, so the slices are even.
+    than two gives none.
     """
     keyed = ratings.withColumn("shuffle_key", shuffle_key(seed))
-    position = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") / float(2**32)
-    ranked = rank_in_group(keyed, ["user_id"], [F.col("shuffle_key"), F.col("artist_id")], position,
-                           rank="rn", size="n", min_rows=min_rows, max_heavy=max_heavy)
+    ranked = rank_in_group(keyed, ["user_id"], [F.col("shuffle_key"), F.col("artist_id")], rank="rn", size="n", label="split-order")
     n_test = F.greatest(F.lit(1), F.rint(F.col("n") * test_share).cast("long"))
     is_test = (F.col("n") >= C.MIN_ROWS_TO_SPLIT) & (F.col("rn") <= n_test)
     return ranked.select(*ratings.columns, is_test.alias("is_test"))

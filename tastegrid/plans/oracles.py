@@ -89,11 +89,16 @@ top AS (SELECT user_id, CAST(position AS INTEGER) AS position, artist_id, pts /
         WHERE position <= 10)"""
 
 _NEAR = f"""{_SPLIT},
-active AS (SELECT user_id FROM train GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 10),
 pts AS (SELECT user_id, artist_id, CAST(round_even(rating * 10000, 0) AS BIGINT) AS p FROM train),
 norms AS (SELECT user_id, sqrt(sum(p * p)::DOUBLE) AS norm FROM pts GROUP BY 1),
-dots AS (SELECT a.user_id, b.user_id AS neighbour_id, sum(a.p * b.p)::DOUBLE AS dot FROM pts a JOIN pts b USING (artist_id)
-         WHERE a.user_id IN (SELECT user_id FROM active) AND a.user_id <> b.user_id GROUP BY 1, 2),
+signs AS (SELECT artist_id, seed, 1 - 2 * (('0x' || left(md5('sign|' || seed || '|' || artist_id), 1))::INT % 2) AS sign
+          FROM (SELECT DISTINCT artist_id FROM train), range(1, 9) s(seed)),
+sums AS (SELECT seed, user_id, sum(p * sign) AS s FROM pts JOIN signs USING (artist_id) GROUP BY 1, 2),
+places AS (SELECT seed, user_id, row_number() OVER (PARTITION BY seed ORDER BY s, user_id) AS place FROM sums),
+shifted AS (SELECT seed, user_id, place + shift AS place FROM places, range(-10, 11) r(shift) WHERE shift <> 0),
+candidates AS (SELECT DISTINCT a.user_id, b.user_id AS neighbour_id FROM shifted a JOIN places b USING (seed, place)),
+dots AS (SELECT c.user_id, c.neighbour_id, sum(a.p * b.p)::DOUBLE AS dot FROM candidates c JOIN pts a ON a.user_id = c.user_id
+         JOIN pts b ON b.user_id = c.neighbour_id AND b.artist_id = a.artist_id GROUP BY 1, 2),
 sims AS (SELECT d.user_id, neighbour_id, dot / (nb.norm * na.norm) AS similarity
             FROM dots d JOIN norms na ON na.user_id = d.user_id JOIN norms nb ON nb.user_id = neighbour_id),
 near AS (SELECT user_id, CAST(position AS INTEGER) AS position, neighbour_id, similarity
@@ -284,8 +289,9 @@ SELECT vec_id, n AS n_frames, round(first, 6) AS first_frame, round(m, 6) AS mea
     "audio_features": f"""SELECT vec_id AS musicnet_id,
        {_AUDIO}
 FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)""",
-    "audio_rollup": f"""SELECT label::BIGINT AS artist_id, 'label ' || label AS artist,
-       string_agg(DISTINCT vec_id::VARCHAR, ',' ORDER BY vec_id::VARCHAR) AS musicnet_ids, 0 AS ids_part, count(*) AS recording_count,
+    "artist_recordings": """SELECT label::BIGINT AS artist_id, row_number() OVER (PARTITION BY label ORDER BY vec_id::VARCHAR) AS position,
+       vec_id AS musicnet_id FROM embeddings""",
+    "audio_rollup": f"""SELECT label::BIGINT AS artist_id, 'label ' || label AS artist, count(*) AS recording_count,
        {_ROLLUP_COLUMNS} FROM embeddings GROUP BY label""",
     "resume_pending": f"WITH {_WORK} SELECT musicnet_id FROM work WHERE has_file",
     "missing_inputs": f"WITH {_WORK} SELECT musicnet_id FROM work WHERE NOT has_file",
@@ -337,5 +343,5 @@ weighted AS (SELECT n.user_id, t.artist_id, sum(similarity * rating) / sum(simil
              FROM near n JOIN train t ON t.user_id = n.neighbour_id GROUP BY 1, 2),
 own AS (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1)
 SELECT t.user_id, t.artist_id, t.rating, round(coalesce(w, m), 6) AS prediction
-FROM test t JOIN active USING (user_id) JOIN own USING (user_id) LEFT JOIN weighted USING (user_id, artist_id)""",
+FROM test t LEFT JOIN own USING (user_id) LEFT JOIN weighted USING (user_id, artist_id)""",
 }

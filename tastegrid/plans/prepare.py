@@ -79,20 +79,24 @@ def tag_step(spark: SparkSession, raw: str, out: str) -> None:
     tables.write_table(tags.tag_user_counts(assignments, vocabulary), f"{out}/tag_counts")
     counts = spark.read.parquet(f"{out}/tag_counts")
     answers = tables.optional_table(spark, f"{raw}/tag_payloads", schemas.TAG_PAYLOADS)
-    fallback = payloads.fallback_tags(answers)
+    fallback = payloads.fallback_tags(answers, payloads.read_tag_cache(spark, f"{raw}/tag_cache.json"))
     artists = tables.read_table(spark, f"{out}/catalog", schemas.CATALOG)
     tables.write_table(
         tfidf.term_frequencies(tags.tag_terms(tags.tag_documents(artists, counts, fallback))), f"{out}/tag_terms")
     frequencies = spark.read.parquet(f"{out}/tag_terms")
     wide = tfidf.weights_wide(tags.tag_lists(artists, counts, fallback), frequencies, tfidf.vocabulary(frequencies))
-    tables.write_table(wide, f"{out}/tag_features")
-    quality.guard_tag_features(spark.read.parquet(f"{out}/tag_features"))
+    checked = materialize(wide, "tag-features")
+    quality.guard_tag_features(checked)  # a refused table leaves the published one in place
+    tables.write_table(checked, f"{out}/tag_features")
 
 
 def artist_audio_step(spark: SparkSession, features: str, out: str, which: str) -> None:
-    """Roll one side's feature table up to artists; without a recording map the result is empty."""
+    """Roll one side's feature table up to artists, with their recordings as a table of its own; without a recording
+    map both are empty."""
     found = tables.optional_table(spark, f"{out}/recording_map", schemas.RECORDING_MAP)
-    tables.write_table(rollup.artist_rollup(spark.read.parquet(features), found), f"{out}/artist_audio_{which}")
+    mapped = materialize(rollup.map_recordings(spark.read.parquet(features), found), "mapped-recordings")
+    tables.write_table(rollup.artist_features(mapped), f"{out}/artist_audio_{which}")
+    tables.write_table(rollup.artist_recordings(mapped), f"{out}/artist_recordings_{which}")
 
 
 def report_step(spark: SparkSession, out: str) -> DataFrame:

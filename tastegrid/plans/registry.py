@@ -264,10 +264,15 @@ def audio_features(spark, d):
     return out.select("musicnet_id", *[F.round(c, 6).alias(c) for c in out.columns if c != "musicnet_id"])
 
 
+@query
+def artist_recordings(spark, d):
+    return rollup.artist_recordings(rollup.map_recordings(s.vector_features(spark, d), s.vector_map(spark, d)))
+
+
 @query
 def audio_rollup(spark, d):
     out = rollup.artist_rollup(s.vector_features(spark, d), s.vector_map(spark, d))
-    lead = ["artist_id", "artist", "musicnet_ids", "ids_part", "recording_count"]
+    lead = ["artist_id", "artist", "recording_count"]
     return out.select(*lead, *[F.round(c, 6).alias(c) for c in out.columns if c not in lead])
 
 
@@ -435,17 +440,17 @@ def ablation_table(spark, d):
 
 def _neighbours(spark, d):
     train, test = _sides(spark, d)
-    return train, test, neighbours.nearest_users(train, neighbours.most_active_users(train, 10))
+    return train, test, neighbours.nearest_users(train, neighbours.candidate_pairs(train))
 
 
 @query
 def knn_user_cosine(spark, d):
-    """The 20 nearest users, among all users, of the ten most active ones."""
+    """The 20 nearest users of every user, among those that lie near it in some projection."""
     return _neighbours(spark, d)[2].withColumn("similarity", F.round("similarity", 6))
 
 
 @query
 def knn_predictions(spark, d):
-    """Test rows of the ten most active users, predicted from their neighbours."""
+    """All test rows, predicted from their users' neighbours."""
     train, test, near = _neighbours(spark, d)
-    return neighbours.predict_from_neighbours(train, near, test).withColumn("prediction", F.round("prediction", 6))
+    return neighbours.predict_from_neighbours(train, materialize(near, "neighbours"), test).withColumn("prediction", F.round("prediction", 6))

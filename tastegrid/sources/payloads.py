@@ -26,11 +26,18 @@ def payload_tags(payload: Column) -> Column:
     return distinct_in_order(F.transform(names, normalize_tag))
 
 
-def fallback_tags(payloads: DataFrame) -> DataFrame:
-    """``(artist_key, tags)`` from stored payloads; only successful calls count."""
-    return payloads.filter(F.col("status") == "ok").select(
-        cache_key(F.col("artist_key")).alias("artist_key"), payload_tags(F.col("payload")).alias("tags")
-    ).filter(F.col("artist_key") != "")
+def fallback_tags(payloads: DataFrame, cache: DataFrame | None = None) -> DataFrame:
+    """``(artist_key, tags)``, one row per normalised key, from stored payloads; only successful calls count.
+
+    Of several answers for a key the longest list counts, of equal lengths the first in order.
+    Keys in ``cache`` (artist_key, tags) keep the cached list.
+    """
+    answers = payloads.filter(F.col("status") == "ok").select("artist_key", payload_tags(F.col("payload")).alias("tags"), F.lit(0).alias("cached"))
+    if cache is not None:
+        answers = answers.unionByName(cache.select("artist_key", "tags", F.lit(1).alias("cached")))
+    keyed = answers.withColumn("artist_key", cache_key(F.col("artist_key"))).filter(F.col("artist_key") != "")
+    rank = F.struct(-F.col("cached"), -F.size("tags"), F.array_join("tags", "\n"))
+    return keyed.groupBy("artist_key").agg(F.min_by("tags", rank).alias("tags"))
 
 
 def read_tag_cache(spark: SparkSession, path: str) -> DataFrame:

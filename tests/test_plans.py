@@ -24,10 +24,10 @@ def test_scan_reads_needed_columns_and_pushes_filters(spark, tmp_path):
     assert "ReadSchema: struct<user_id:bigint,rating:double>" in plan
 
 
-def test_split_shuffles_rows_once(spark, tmp_path):
+def test_split_ranks_inside_slices(spark, tmp_path):
     plan = plan_of(split.train_rows(split.label_split(ratings_files(spark, tmp_path).drop("unused"))))
-    rows = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line and "slice" in line and "artist" not in line]
-    assert len(rows) == 1 + 1  # the rows, and the sizes of the slices of heavy users
+    assert "slice" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert all("slice" in line for line in plan.splitlines() if "Window [row_number" in line)
 
 
 def test_top_tags_are_limited_before_the_shuffle(spark):

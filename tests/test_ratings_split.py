@@ -41,11 +41,10 @@ def history(spark, sizes):
 SIZES = {1: 1, 2: 2, 3: 5, 4: 7, 5: 8, 6: 13, 7: 50, 8: 2000}
 
 
-@pytest.mark.parametrize("min_rows", [skew.MIN_ROWS, 40])
-def test_split_sizes_and_membership(spark, min_rows):
-    """Same split whether or not the large users are cut into slices."""
+def test_split_sizes_and_membership(spark):
+    """The share of each user, drawn in the order of the hash."""
     ratings = history(spark, SIZES)
-    labelled = split.label_split(ratings, min_rows=min_rows)
+    labelled = split.label_split(ratings)
     counts = {r["user_id"]: r["t"] for r in labelled.groupBy("user_id").agg(F.count_if("is_test").alias("t")).collect()}
     assert counts == {1: 0, 2: 1, 3: 1, 4: 1, 5: 2, 6: 3, 7: 10, 8: 400}
     assert labelled.drop("is_test").exceptAll(ratings).isEmpty() and labelled.count() == ratings.count()
@@ -56,19 +55,11 @@ def test_split_sizes_and_membership(spark, min_rows):
     assert sorted(expect.collect()) == sorted(got.collect())
 
 
-def test_heavy_groups_are_bounded(spark):
-    """More than max_heavy keys can never be heavy, and slices stay below twice that."""
-    df = history(spark, {u: 30 for u in range(40)} | {99: 3000}).select("user_id")
-    heavy = skew.heavy_groups(df, ["user_id"], min_rows=1, max_heavy=10).collect()
-    assert [r["user_id"] for r in heavy] == [99]
-    assert sum(r["slices"] for r in heavy) < 20
-
-
 def test_sliced_rank_is_the_plain_rank(spark):
     rng = random.Random(3)
     rows = [(rng.choice([1, 1, 1, 2, 3]), rng.random() ** 3, i) for i in range(5000)]
     df = spark.createDataFrame(rows, "k int, x double, i int")
-    got = skew.rank_in_group(df, ["k"], [F.col("x"), F.col("i")], F.col("x"), size="n", min_rows=100)
+    got = skew.rank_in_group(df, ["k"], [F.col("x"), F.col("i")], size="n")
     plain = Window.partitionBy("k")
     expect = df.withColumn("rank", F.row_number().over(plain.orderBy("x", "i")).cast("long")).withColumn("n", F.count("*").over(plain))
     assert got.count() == 5000 and got.exceptAll(expect).isEmpty()
@@ -93,11 +84,24 @@ def test_overlap(spark):
     assert [r["artist_id"] for r in split.overlap_subset(rows, found).collect()] == [2]
 
 
-def test_hot_user_makes_no_hot_task(spark):
-    """A user with a third of all rows is spread over many (user, slice) groups."""
-    sizes = {1: 3000} | {u: 20 for u in range(2, 302)}
-    keyed = history(spark, sizes).withColumn("shuffle_key", split.shuffle_key())
-    heavy = skew.heavy_groups(keyed, ["user_id"], min_rows=200)
-    position = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") / float(2**32)
-    largest = skew.slice_heavy(keyed, heavy, ["user_id"], position).groupBy("user_id", "slice").count().agg(F.max("count"))
-    assert largest.first()[0] < 300
+def test_slices_split_hot_groups_whatever_the_values(spark):
+    """A group with a third of all rows, an outlying value, clustered values: no slice above twice the mean."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 300)
+        for value in (F.col("id"), F.when(F.col("id") == 7, 10**15).otherwise(F.col("id")), F.floor(F.col("id") / 5000) * 10**9 + F.col("id")):
+            df = spark.range(12_000).select(hot.alias("k"), value.alias("x"))
+            sliced = skew.store_slices(df, ["k"], [F.col("x")], "test")
+            sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+            assert len(sizes) >= 3 and max(sizes) < 2 * 12_000 / len(sizes)
+            total = skew.running_total(sliced, ["k"], [F.col("x")], F.col("x"), "before").filter("k = 1").orderBy("x").collect()
+            assert [r["before"] for r in total] == [sum(r["x"] for r in total[:i]) for i in range(len(total))] if len(total) < 100 else total[1]["before"] == total[0]["x"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_ranks_without_keys_and_with_null_keys(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "k string, x int")
+    assert [(r["x"], r["rank"]) for r in skew.rank_in_group(df, [], [F.col("x")]).orderBy("x").collect()] == [(1, 1), (2, 2), (3, 3)]
+    assert [(r["x"], r["rank"]) for r in skew.rank_in_group(df, ["k"], [F.col("x")]).orderBy("x").collect()] == [(1, 1), (2, 1), (3, 2)]

@@ -48,14 +48,16 @@ def test_rollup(spark):
     found = spark.createDataFrame(
         [(1, "x", 9, "", "", ""), (1, "x", 10, "", "", ""), (2, "y", 11, "", "", ""), (3, "", 12, "", "", ""), (4, None, 13, "", "", "")], MAP)
     got = rollup.artist_rollup(features, found)
-    assert got.columns == ["artist_id", "artist", "musicnet_ids", "ids_part", "recording_count", "a", "b"]
-    assert sorted(map(tuple, got.collect())) == [(1, "x", "10,9", 0, 2, 2.0, 2.0), (2, "y", "11", 0, 1, 5.0, 5.0)]
+    assert got.columns == ["artist_id", "artist", "recording_count", "a", "b"]
+    assert sorted(map(tuple, got.collect())) == [(1, "x", 2, 2.0, 2.0), (2, "y", 1, 5.0, 5.0)]
+    listed = rollup.artist_recordings(rollup.map_recordings(features, found))
+    assert sorted(map(tuple, listed.select("artist_id", "position", "musicnet_id").collect())) == [(1, 1, 10), (1, 2, 9), (2, 1, 11)]
 
 
 def test_rollup_counts_rows_and_lists_distinct_ids(spark):
     features = spark.createDataFrame([(9, 1.0, 1.0), (9, 3.0, 1.0)], FEATURES)
     got = rollup.artist_rollup(features, spark.createDataFrame([(1, "x", 9, "", "", "")], MAP)).first()
-    assert (got["musicnet_ids"], got["recording_count"], got["a"]) == ("9", 2, 2.0)
+    assert (got["recording_count"], got["a"]) == (2, 2.0)
 
 
 def test_repeated_recording_raises(spark):
@@ -64,14 +66,15 @@ def test_repeated_recording_raises(spark):
         rollup.artist_rollup(spark.createDataFrame([(9, 1.0, 1.0)], FEATURES), found).collect()
 
 
-def test_long_id_lists_come_in_parts(spark):
-    mapped = spark.range(1, 2001).select(F.lit(1).cast("long").alias("artist_id"), F.col("id").alias("musicnet_id")).unionByName(
-        spark.createDataFrame([(2, 7)], "artist_id long, musicnet_id long"))
-    parts = rollup.artist_recordings(mapped, ids_per_list=100).orderBy("artist_id", "ids_part").collect()
-    whole = ",".join(r["musicnet_ids"] for r in parts if r["artist_id"] == 1)
-    assert whole == ",".join(sorted(str(i) for i in range(1, 2001)))
-    assert sum(r["artist_id"] == 1 for r in parts) > 8
-    assert [r["musicnet_ids"] for r in parts if r["artist_id"] == 2] == ["7"]
+def test_an_artist_with_half_of_all_recordings_is_one_row(spark):
+    found = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).cast("long").alias("artist_id"), F.lit("x").alias("artist"), F.col("id").alias("musicnet_id"))
+    features = spark.range(4000).select(F.col("id").alias("musicnet_id"), F.col("id").cast("double").alias("a"))
+    rows = rollup.artist_rollup(features, found).filter("artist_id = 1").collect()
+    assert [r["recording_count"] for r in rows] == [2001] or [r["recording_count"] for r in rows] == [2000]
+    listed = rollup.artist_recordings(rollup.map_recordings(features, found)).filter("artist_id = 1").orderBy("position").collect()
+    assert [r["position"] for r in listed] == list(range(1, rows[0]["recording_count"] + 1))
+    assert [str(r["musicnet_id"]) for r in listed] == sorted(str(r["musicnet_id"]) for r in listed)
 
 
 def test_work_list(spark):

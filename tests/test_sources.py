@@ -90,6 +90,15 @@ def test_fallback_uses_successes_only(spark):
     assert payloads.fallback_tags(df).collect() == [Row(artist_key="abba", tags=["pop"])]
 
 
+def test_fallback_has_one_row_per_key(spark):
+    two = '{"toptags":{"tag":[{"name":"Rock"},{"name":"Soul"}]}}'
+    df = spark.createDataFrame([("Abba", '{"toptags":{"tag":{"name":"Pop"}}}', "ok"), (" abba ", two, "ok"), ("Bach", two, "ok")], schemas.TAG_PAYLOADS)
+    assert {r["artist_key"]: r["tags"] for r in payloads.fallback_tags(df).collect()} == {"abba": ["rock", "soul"], "bach": ["rock", "soul"]}
+    cache = spark.createDataFrame([("BACH ", ["baroque"]), ("cage", [])], schemas.TAG_CACHE)
+    got = payloads.fallback_tags(df, cache).collect()
+    assert len(got) == 3 and {r["artist_key"]: r["tags"] for r in got} == {"abba": ["rock", "soul"], "bach": ["baroque"], "cage": []}
+
+
 def test_tag_cache_round_trip(spark, tmp_path):
     path = str(tmp_path / "cache")
     assert payloads.read_tag_cache(spark, path).isEmpty()
