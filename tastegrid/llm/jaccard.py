@@ -50,6 +50,7 @@ COMMON_ROWS = 1 << 22
 COMMON_SHARE = 0.002
 MAX_COMMON = 100_000
 FILTER_WORDS = 1 << 18
+SALTS = 64
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -296,12 +297,15 @@ def common_tokens(described: DataFrame, most: int = MAX_COMMON) -> np.ndarray:
     return top["token"].to_numpy(dtype=np.int64).view(np.uint64)[::-1].copy()
 
 
-def prefix(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The leading tokens in the common order: by hash, then the common ones by frequency.  ``common`` is the order of those."""
+def prefix(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT, by_value: np.ndarray | None = None) -> np.ndarray:
+    """The leading tokens in the common order: by hash, then the common ones by frequency.
+
+    ``common`` is the order of those, ``by_value`` what sorts it by value.
+    """
     wanted = prefix_length(len(tokens), percent)
     if not len(common):
         return tokens[:wanted]
-    by_value = np.argsort(common)
+    by_value = np.argsort(common) if by_value is None else by_value
     place = np.minimum(np.searchsorted(common[by_value], tokens), len(common) - 1)
     is_common = common[by_value][place] == tokens
     rare = tokens[~is_common]
@@ -311,11 +315,16 @@ def prefix(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np
 
 
 def _prefix_rows(docs: DataFrame, order: np.ndarray, width: int, percent: int) -> DataFrame:
-    """``(token, class, n, place)``, one row for each leading token of each class seen by a task."""
+    """``(token, class, n, place, salt)``, one row for each leading token of each class seen by a task.
+
+    Only common tokens can lead in many sets; their rows are dealt over ``SALTS`` parts by class.
+    """
     common = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
+        by_value = np.argsort(common.value)
+        values = common.value[by_value]
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
@@ -328,15 +337,29 @@ def _prefix_rows(docs: DataFrame, order: np.ndarray, width: int, percent: int) -
                 if len(seen) >= 1_000_000:  # copies across the gap only cost a repeated row
                     seen.clear()
                 seen.add(key)
-                lead = prefix(tokens, common.value, percent)
-                rows.append((lead.view(np.int64), np.full(len(lead), key), np.full(len(lead), len(tokens)), np.arange(len(lead))))
+                lead = prefix(tokens, common.value, percent, by_value)
+                is_common = values[np.minimum(np.searchsorted(values, lead), len(values) - 1)] == lead if len(values) else np.zeros(len(lead), dtype=bool)
+                salt = np.where(is_common, 1 + key % SALTS, 0)
+                rows.append((lead.view(np.int64), np.full(len(lead), key), np.full(len(lead), len(tokens)), np.arange(len(lead)), salt))
             if rows:
-                columns = [np.concatenate([r[i] for r in rows]) for i in range(4)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int32))],
-                    ["token", "class", "n", "place"])
+                columns = [np.concatenate([r[i] for r in rows]) for i in range(5)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns[:2]] + [pa.array(c.astype(np.int32)) for c in columns[2:]],
+                                                 ["token", "class", "n", "place", "salt"])
 
-    return docs.select("text").mapInArrow(run, "token long, class long, n int, place int")
+    return docs.select("text").mapInArrow(run, "token long, class long, n int, place int, salt int")
+
+
+def _shared_rows(leading: DataFrame) -> DataFrame:
+    """``(token, class, n, place, members)``: each class once for each leading token that another class has, too.
+
+    A token is counted in its parts; the sums of the common ones, at most ``MAX_COMMON`` rows, are sent to all tasks.
+    """
+    part = Window.partitionBy("token", "salt")
+    counted = materialize(leading.repartition("token", "salt").dropDuplicates(["token", "salt", "class"]).withColumn(
+        "members", F.count(F.lit(1)).over(part)).filter("members > 1 OR salt > 0"), "jaccard-rows")
+    common = materialize(counted.filter("salt > 0").groupBy("token").agg(F.count(F.lit(1)).alias("all_members")), "jaccard-common")
+    return counted.join(F.broadcast(common), "token", "left").withColumn("members", F.coalesce("all_members", "members")).filter("members > 1").drop(
+        "salt", "all_members")
 
 
 def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
@@ -439,9 +462,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     classes = materialize(filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
     vectors = filled.groupBy(F.col("d1").alias("class")).agg(F.first("n").alias("n"), F.first("vector").alias("vector"), F.first("fine").alias("fine"))
 
-    by_token = Window.partitionBy("token")
-    rows = _prefix_rows(docs, common_tokens(stored), width, percent).repartition("token").dropDuplicates(["token", "class"])
-    rows = materialize(rows.withColumn("members", F.count(F.lit(1)).over(by_token)).filter("members > 1"), "jaccard-rows")
+    rows = _shared_rows(_prefix_rows(docs, common_tokens(stored), width, percent))
 
     first = _blocks(rows.withColumn("label", F.col("class")), 1, block).join(vectors.select("class", "vector"), "class")
     pairs = materialize(_bounded(_search(first, 1, percent).distinct(), vectors, percent), "jaccard-near")
