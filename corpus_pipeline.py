@@ -3,6 +3,8 @@
 Each stage takes (spark, docs, folder of the tables), works on all rows it is given and returns the
 documents it keeps with the columns of ``documents``; the last returns sequences.  ``run`` writes each
 stage's result as Parquet to the shared folder and reads it back for the next.
+
+Further columns than those of ``documents`` are left out at the start of a stage, so none can clash.
 """
 
 from __future__ import annotations
@@ -14,34 +16,40 @@ from tastegrid.llm import jaccard, language, mixing, packing, queries
 from tastegrid.session import materialize
 
 LEAST_SCORE = 0.5
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told: no letter at all, or no language at least as likely as the rest together."""
-    judged = language.identify(docs, docs.filter(~queries.held_out()), docs.columns + [F.col("text").alias("judged_text")])
-    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    docs = docs.select(*COLUMNS)
+    judged = language.identify(docs, docs.filter(~queries.held_out()), COLUMNS)
+    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of the least id stays; of repeated rows, one."""
+    docs = docs.select(*COLUMNS)
     found = materialize(jaccard.jaccard_components(docs).select("doc_id", "component_id"), "pipeline-groups")
     stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(stays, docs["doc_id"].eqNullSafe(stays["doc_id"]), "left_semi")
     hashed = kept.withColumn("_hash", F.xxhash64("text"))
     one = Window.partitionBy(F.coalesce("doc_id", "_hash")).orderBy(F.col("_hash"), F.col("source"))
-    return hashed.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*docs.columns)
+    return hashed.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the one at the edge of a source's budget in part."""
-    mixed = mixing.mix(docs).filter("copies > 0 OR cut_words > 0").select(F.col("doc_id").alias("mix_id"), "text_hash", "copies", "cut_words")
+    """Documents as often as the mix takes them; the one at the edge of a source's budget in part.
+
+    Rows are numbered and stored first, so repeated rows are mixed each and meet only their own share.
+    """
+    rows = materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_id")), "pipeline-rows")
+    mixed = mixing.mix(rows, keep=("row_id",)).filter("copies > 0 OR cut_words > 0").select("row_id", "copies", "cut_words")
     front = F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0)
     words = F.slice(F.regexp_extract_all("text", F.lit(f"({mixing.WORD}[\\x20\\x09-\\x0D]*)")), F.lit(1), F.col("cut_words").cast("int"))
     cut = F.when(F.col("part") < F.col("copies"), F.col("text")).otherwise(F.concat(front, F.array_join(words, "")))
-    rows = docs.join(mixed, docs["doc_id"].eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs["text"]) == F.col("text_hash")))
     parts = F.sequence(F.lit(0), (F.col("copies") + F.when(F.col("cut_words") > 0, 1).otherwise(0) - 1).cast("int"))
-    taken = rows.withColumn("part", F.explode(parts)).withColumn("text", cut).withColumn("n_chars", F.length("text").cast("long"))
-    return taken.select(*docs.columns)
+    taken = rows.join(mixed, "row_id").withColumn("part", F.explode(parts)).withColumn("text", cut).withColumn("n_chars", F.length("text").cast("long"))
+    return taken.select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,18 +71,19 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, ratio:
 
 
 def mix(docs: DataFrame, quality: Column | None = None, weights: tuple[int, ...] = WEIGHTS, ratio: float = RATIO, most: float = MOST,
-        seed: int = 11) -> DataFrame:
-    """``(doc_id, text_hash, size, source, source_size, target, copies, cut_words, taken)``, one row per document.
+        seed: int = 11, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, text_hash, size, source, source_size, target, copies, cut_words, taken)`` and the columns ``keep``, one row per document.
 
     ``copies`` whole copies are taken and, if ``cut_words`` is not 0, a part of so many words more.
+    A row number among ``keep`` tells repeated rows apart, and cuts them by range as well.
     """
     text = F.col("text")
     weight = symbol_quality(text) if quality is None else quality
     weight = F.when((weight > LEAST_QUALITY) & (weight < float("inf")), weight).otherwise(F.lit(LEAST_QUALITY))
     keyed = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "source", word_count(text).alias("size"),
-        (-F.log(_uniform(F.col("doc_id"), seed)) / weight).alias("key"))
-    order = [F.col("key"), F.col("doc_id"), F.col("text_hash")]
+        (-F.log(_uniform(F.col("doc_id"), seed)) / weight).alias("key"), *keep)
+    order = [F.col("key"), F.col("doc_id"), F.col("text_hash"), *[F.col(c) for c in keep]]
     sliced = store_slices(keyed, ["source"], order, "mix")
     sizes = sliced.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, ratio, most), "mix-targets").withColumnRenamed("source", "of_source")
@@ -95,4 +96,4 @@ def mix(docs: DataFrame, quality: Column | None = None, weights: tuple[int, ...]
         "doc_id", "text_hash", "size", "source", "source_size", "target",
         (F.col("epochs") + F.when((F.col("part") == F.col("size")) & (F.col("size") > 0), 1).otherwise(0)).alias("copies"),
         F.when(F.col("part") < F.col("size"), F.col("part")).otherwise(F.lit(0)).alias("cut_words"),
-        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
+        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"), *keep)
