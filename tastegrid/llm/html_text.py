@@ -178,7 +178,9 @@ def extract_main_text(pages: DataFrame, model: tuple[np.ndarray, np.ndarray] | N
             texts = extract(batch["html"].tolist(), sent.value)
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    # Ids travel as text: pandas has no exact 64-bit numbers beside nulls.
+    found = pages.select(F.col("page_id").cast("long").cast("string"), "url", "html").mapInPandas(run, "page_id string, url string, text string, n_chars long")
+    return found.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def weights_by_name(model: tuple[np.ndarray, np.ndarray]) -> dict[str, float]:

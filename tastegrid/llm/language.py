@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,13 +130,12 @@ def identify(docs: DataFrame, examples: DataFrame, keep: list[Column | str], buc
     rows = docs.select(*keep, F.col("text").alias("_text"))
     kept = rows.columns[:-1]
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [score_text(t, *model.value, orders) for t in batch["_text"]]
-            out = batch[kept].copy()
-            out["lang_pred"] = [f[0] for f in found]
-            out["score"] = [f[1] for f in found]
-            yield out
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # Arrow keeps 64-bit ids exact beside nulls
+            found = [score_text(t, *model.value, orders) for t in batch.column(len(kept)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                [*kept, "lang_pred", "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInPandas(score, f"{fields}, lang_pred string, score double")
+    return rows.mapInArrow(score, f"{fields}, lang_pred string, score double")

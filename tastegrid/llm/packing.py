@@ -69,12 +69,12 @@ def tokenize_pieces(docs: DataFrame, ranks_path: str, special: tuple[tuple[str,
                 for i, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)])):
                     out.append((doc_id, i, start, end - start, zlib.crc32(ids[start:end].tobytes()), *([ids[start:end].astype(np.int32)] if keep_ids else [])))
             columns = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
-            frame = pd.DataFrame(out, columns=columns)
-            frame["doc_id"] = pd.array([None if pd.isna(x) else int(x) for x in frame["doc_id"]], dtype="Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=columns)
 
     ids = ", ids array<int>" if keep_ids else ""
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, piece int, start long, length long, ids_crc32 long{ids}")
+    # Ids travel as text: pandas has no exact 64-bit numbers beside nulls.
+    pieces = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, f"doc_id string, piece int, start long, length long, ids_crc32 long{ids}")
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -164,7 +164,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, most:
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to stored pieces with columns doc_id, piece, length."""
     columns = pieces.columns
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    fields = ", ".join(f"`{f.name}` {'string' if f.name == 'doc_id' else f.dataType.simpleString()}" for f in pieces.schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def placed(group: pd.DataFrame) -> pd.DataFrame:
@@ -196,8 +196,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     order = F.xxhash64(*[F.col(c) for c in columns if c != "ids"])
     sliced = running_total(store_slices(open_, [], [order, *[F.col(c) for c in columns if c != "ids"]], "pack-order"), [], [order, *[F.col(c) for c in columns if c != "ids"]], F.lit(1), "place")
     dealt = sliced.withColumn("base", F.col("place") % groups).drop("place", "slice")
-    small = dealt.repartition("base").sortWithinPartitions("base", "length", *[c for c in columns if c not in ("ids", "length")]).mapInPandas(
-        run, f"{fields}, sequence_id long, offset long")
+    small = dealt.withColumn("doc_id", F.col("doc_id").cast("string")).repartition("base").sortWithinPartitions("base", "length", *[c for c in columns if c not in ("ids", "length")]).mapInPandas(
+        run, f"{fields}, sequence_id long, offset long").withColumn("doc_id", F.col("doc_id").cast(pieces.schema["doc_id"].dataType))
     # A full piece is a sequence; numbers below 0 are theirs.
     whole = pieces.filter(F.col("length") == capacity)
     named = whole.withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))

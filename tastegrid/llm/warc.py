@@ -90,7 +90,9 @@ def response_records(pages: DataFrame) -> DataFrame:
             records = [_response(*row)["record"] for row in zip(batch["page_id"], batch["url"], batch["html"])]
             yield pd.DataFrame({"page_id": batch["page_id"], "record": records})
 
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(run, "page_id long, record string")
+    # Ids travel as text: pandas has no exact 64-bit numbers beside nulls.
+    made = pages.select(F.col("page_id").cast("long").cast("string"), "url", "html").mapInPandas(run, "page_id string, record string")
+    return made.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def derivatives(record: str) -> list[tuple[dict[str, str], str]]:
@@ -131,11 +133,10 @@ def derive(records: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(page, *_row(*made)) for page, record in zip(batch["page_id"], batch["record"]) for made in derivatives(record or "")]
-            out = pd.DataFrame(rows, columns=["page_id", *_FIELDS])
-            out["page_id"] = pd.array([None if pd.isna(x) else int(x) for x in out["page_id"]], dtype="Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["page_id", *_FIELDS])
 
-    return records.select("page_id", "record").mapInPandas(run, f"page_id long, {RECORD}")
+    derived = records.select(F.col("page_id").cast("string"), "record").mapInPandas(run, f"page_id string, {RECORD}")
+    return derived.withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def write_warc(derived: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:

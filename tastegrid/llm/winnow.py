@@ -99,7 +99,8 @@ def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
             found = [winnow(t, k, window) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "hashes": [f[0].astype(np.int64) for f in found], "positions": [f[1] for f in found]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, hashes array<long>, positions array<long>")
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, hashes array<long>, positions array<long>")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def edited(text: str, following: str) -> str:
@@ -155,10 +156,11 @@ def compare_with_following(docs: DataFrame, k: int = K, window: int = WINDOW) ->
                     out.append((their_id, len(their_text), hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest(), as_text(*their_mark), as_text(*other_mark),
                                 likeness(np.unique(their_mark[0]), np.unique(other_mark[0])), likeness(np.unique(their_mark[0]), np.unique(mark[0]))))
                 before = None if guest else (bucket, doc_id, text, mark)
-            ids = pd.array([None if pd.isna(o[0]) else int(o[0]) for o in out], dtype="Int64")
-            yield pd.DataFrame({"doc_id": ids, **{c: [o[i + 1] for o in out] for i, c in enumerate(_RESULT[1:])}})
+            yield pd.DataFrame(out, columns=list(_RESULT))
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = _with_guests(docs).repartition(n, "bucket").sortWithinPartitions("bucket", "guest", F.desc("place"), F.desc("text"))
-    return ordered.select("bucket", "guest", "doc_id", "text").mapInPandas(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    ordered = _with_guests(docs).repartition(n, "bucket").sortWithinPartitions("bucket", "guest", F.desc("place"), F.desc("doc_id"), F.desc("text"))
+    # Ids travel as text: pandas has no exact 64-bit numbers beside nulls.
+    compared = ordered.select("bucket", "guest", F.col("doc_id").cast("string"), "text").mapInPandas(
+        run, "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return compared.withColumn("doc_id", F.col("doc_id").cast("long"))

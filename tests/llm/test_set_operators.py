@@ -1,5 +1,6 @@
 """Mixing, packing, neighbours, n-gram join, URL filter, shards, pipeline: plain versions and odd input."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tastegrid.llm import ann, jaccard, mixing, packing, queries, sharding, urls
+from tastegrid.llm import ann, html_text, jaccard, language, mixing, packing, queries, sharding, urls, warc, winnow
 
 from .helpers import WORD, linked_components
 
@@ -194,6 +195,18 @@ def test_join_finds_the_components_of_all_pairs(spark, block):
     assert Counter(map(tuple, got)) == Counter(linked_components(rows))
 
 
+def test_common_tokens_are_split_and_counted_whole(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(n, " ".join(base[:n % 56] + [f"x{n}"] + base[n % 56 + 1:]), "a") for n in range(1, 181)] + [(999, "nothing like the others in any of these words", "a")]
+    df = docs(spark, rows)
+    order = jaccard.common_tokens(jaccard.materialize(jaccard._described(df, 5, 128), "test-described"))
+    leading = jaccard._prefix_rows(df, order, 5, 80).collect()
+    assert len({r.salt for r in leading}) > 20
+    want = Counter(r.token for r in leading)
+    got = jaccard._shared_rows(jaccard._prefix_rows(df, order, 5, 80)).collect()
+    assert {r.token: r.members for r in got} == {t: n for t, n in want.items() if n > 1} and len(got) == sum(n for n in want.values() if n > 1)
+
+
 def test_join_of_nothing(spark):
     empty = docs(spark, [], "doc_id long, text string")
     assert jaccard.jaccard_components(empty).count() == 0
@@ -303,3 +316,29 @@ def test_pipeline_stages_do_their_work(spark):
     assert len(last) == third.count()
     assert corpus_pipeline.mixing_stage(spark, df.limit(0), SF).count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "mixing", "packing"]
+
+
+def test_pipeline_mixes_repeated_rows_once_each(spark):
+    same = (2**60 + 1, "one two three four", "en", "a", 18, "x", 0.5)
+    df = spark.createDataFrame([same] * 7 + [(None, None, None, None, None, None, None)], DOC + ", _hash string, score double")
+    out = corpus_pipeline.mixing_stage(spark, df, SF)
+    assert out.columns == corpus_pipeline.COLUMNS
+    words = sum(len(WORD.findall(r.text)) for r in out.collect())
+    assert words == 42 and {r.doc_id for r in out.collect()} == {2**60 + 1}
+    assert corpus_pipeline.language_stage(spark, df, SF).columns == corpus_pipeline.COLUMNS
+    assert [r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, df, SF).filter("text IS NOT NULL").collect()] == [2**60 + 1]
+
+
+def test_ids_stay_exact_beside_nulls(spark):
+    big = 2**60 + 1
+    df = docs(spark, [(big, "some text of a document", "a"), (None, "another text of a document", "a"), (big + 1, "x y z", None)]).coalesce(1)
+    df = df.withColumn("lang", F.lit("en"))
+    want = {big, None, big + 1}
+    assert {r.doc_id for r in language.identify(df, df, ["doc_id"]).collect()} == want
+    assert {r.doc_id for r in packing.pack_documents(df, queries.ranks_path()).collect()} == want
+    following = winnow.compare_with_following(df).collect()
+    assert {r.doc_id for r in following} == want and {r.doc_id for r in winnow.fingerprints(df).collect()} == want
+    assert {r.doc_id: r.edited_sha256 for r in following}[big + 1] == hashlib.sha256(winnow.edited("x y z", "some text of a document").encode()).hexdigest()
+    pages = df.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b/").alias("url"), F.col("text").alias("html"))
+    assert {r.page_id for r in html_text.extract_main_text(pages).collect()} == want
+    assert {r.page_id for r in warc.derive(warc.response_records(pages)).collect()} == want
