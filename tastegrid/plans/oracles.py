@@ -264,6 +264,9 @@ SELECT user_id, artist_id, rating, t AND user_id IN (SELECT user_id FROM r WHERE
 SELECT event_id, CASE event_type WHEN 'purchase' THEN k * 100 ELSE k END AS tag_id FROM k WHERE event_type NOT IN ('error', 'signup')""",
     "lenient_scan": """SELECT p_partkey AS artist_id, p_name AS artist, CASE WHEN p_type <> 'ECONOMY' THEN p_brand END AS brand
 FROM part WHERE p_type NOT IN ('PROMO', 'SMALL')""",
+    "strict_scan": "SELECT l_orderkey AS user_id, l_partkey AS artist_id, l_quantity AS weight FROM lineitem",
+    "comma_scan": """SELECT s_suppkey AS musicnet_id, s_name || ', x' AS composer_raw, CASE WHEN s_nationkey % 2 = 0 THEN CAST(s_nationkey AS VARCHAR) END AS note
+FROM supplier""",
     "json_tags": f"""WITH p AS (SELECT event_id, {_payload('event_type')} AS payload FROM events)
 SELECT event_id, array_to_string(l, '|') AS tags, len(l) AS n_tags FROM (SELECT event_id, {_payload_tags('payload')} AS l FROM p)""",
     "catalog_clean": f"WITH {_CATALOG} SELECT * FROM artists",

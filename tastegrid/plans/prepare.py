@@ -19,7 +19,8 @@ from ..sources import delimited, payloads, tables
 def catalog_step(spark: SparkSession, raw: str, out: str) -> None:
     """Catalog and recording map; without recordings the map is empty and the id column null."""
     artists = delimited.standard_names(
-        delimited.lenient_scan(spark, f"{raw}/artists.dat", schemas.RAW_ARTISTS), schemas.STANDARD_NAMES["artists"])
+        delimited.lenient_scan(spark, f"{raw}/artists.dat", schemas.RAW_ARTISTS, optional=("url", "pictureURL")),
+        schemas.STANDARD_NAMES["artists"])
     catalog = cat.build_catalog(artists)
     path = f"{raw}/recordings.csv"
     if tables.path_exists(spark, path):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import text
 from ..functions.numbers import coerce_id
 from ..operators import baselines, catalog, evaluate, extract, factorize, frames, neighbours, quality, recommend, resume, rollup, split, tags, tfidf
@@ -115,6 +116,14 @@ def coerced_ids(spark, d):
     return s.table(spark, d, "events").select("event_id", coerce_id(raw).alias("tag_id")).dropna(subset=["tag_id"])
 
 
+def _text_file(lines):
+    """Ready-made lines as they are, below their name as header."""
+    path = scratch_path(lines.sparkSession, "text")
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").option(
+        "ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path)
+    return path
+
+
 @query
 def lenient_scan(spark, d):
     """Parts written as ragged tab-separated text, then read back leniently."""
@@ -125,14 +134,29 @@ def lenient_scan(spark, d):
         .when(F.col("p_type") == "ECONOMY", F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_name"))
         .otherwise(line)
     )
-    path = scratch_path(spark, "ragged")
-    lines = s.table(spark, d, "part").select(ragged.alias("ID\tName \tBrand"))
-    lines.write.option("header", True).option("sep", "\x01").option("quote", "").option(
-        "ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path)
-    rows = delimited.standard_names(delimited.lenient_scan(spark, path), {"id": "artist_id", "name": "artist"})
+    rows = delimited.lenient_scan(spark, _text_file(s.table(spark, d, "part").select(ragged.alias("ID\tName \tBrand"))))
+    rows = delimited.standard_names(rows, {"id": "artist_id", "name": "artist"})
     return rows.select(coerce_id(F.col("artist_id")).alias("artist_id"), "artist", "brand")
 
 
+@query
+def strict_scan(spark, d):
+    """Plays written with the item before the user and a column more, then read by name."""
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in ("l_partkey", "l_returnflag", "l_orderkey", "l_quantity")])
+    path = _text_file(s.table(spark, d, "lineitem").select(line.alias("ArtistID\tnote\tuserID \tweight")))
+    return delimited.standard_names(delimited.strict_scan(spark, path, schemas.RAW_INTERACTIONS), schemas.STANDARD_NAMES["interactions"])
+
+
+@query
+def comma_scan(spark, d):
+    """Suppliers written with a quoted comma, some rows short, then read by name."""
+    quoted = F.concat(F.lit('"'), F.col("s_name"), F.lit(', x",'), F.col("s_suppkey").cast("string"))
+    line = F.when(F.col("s_nationkey") % 2 == 0, F.concat(quoted, F.lit(","), F.col("s_nationkey").cast("string"))).otherwise(quoted)
+    path = _text_file(s.table(spark, d, "supplier").select(line.alias("composer,id,note")))
+    rows = delimited.standard_names(delimited.comma_scan(spark, path), schemas.STANDARD_NAMES["recordings"])
+    return rows.select(coerce_id(F.col("musicnet_id")).alias("musicnet_id"), "composer_raw", "note")
+
+
 @query
 def json_tags(spark, d):
     names = payloads.payload_tags(F.col("payload"))

@@ -9,11 +9,11 @@ def _table(**columns):
 
 STR, LONG, DBL = T.StringType(), T.LongType(), T.DoubleType()
 
-# Raw files, in file order.  Ids arrive as text where the source is not trusted.
+# What is read of the raw files, by name.  Ids arrive as text where the source is not trusted.
 RAW_ARTISTS = _table(id=STR, name=STR, url=STR, pictureURL=STR)
 RAW_INTERACTIONS = _table(userID=LONG, artistID=LONG, weight=DBL)
 RAW_TAGS = _table(tagID=STR, tagValue=STR)
-RAW_TAG_ASSIGNMENTS = _table(userID=LONG, artistID=STR, tagID=STR, day=STR, month=STR, year=STR)
+RAW_TAG_ASSIGNMENTS = _table(userID=LONG, artistID=STR, tagID=STR)
 
 # Prepared tables.
 CATALOG = _table(artist_id=LONG, artist=STR, url=STR, musicnet_id=LONG)

@@ -41,8 +41,10 @@ def test_flow(spark, folders):
     assert spark.read.parquet(f"{out}/ratings").count() == 31
     assert prepare.train_table(spark, out).count() == 26 and prepare.test_table(spark, out).count() == 5
     assert spark.read.parquet(f"{out}/master").columns == ["user_id", "artist_id", "artist", "rating", "url", "musicnet_id"]
-    audio = {r["artist_id"]: (r["musicnet_ids"], r["tempo"]) for r in spark.read.parquet(f"{out}/artist_audio_train").collect()}
-    assert audio == {1: ("10,11", 2.0), 2: ("12", 5.0)}
+    audio = {r["artist_id"]: (r["recording_count"], r["tempo"]) for r in spark.read.parquet(f"{out}/artist_audio_train").collect()}
+    assert audio == {1: (2, 2.0), 2: (1, 5.0)}
+    listed = spark.read.parquet(f"{out}/artist_recordings_train").orderBy("artist_id", "position").collect()
+    assert [(r["artist_id"], r["position"], r["musicnet_id"]) for r in listed] == [(1, 1, 10), (1, 2, 11), (2, 1, 12)]
     report = prepare.report_step(spark, out)
     assert report.filter("not passed").isEmpty() and report.count() == 29
 

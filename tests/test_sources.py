@@ -43,6 +43,35 @@ def test_strict_scan_rejects(spark, tmp_path, line):
         delimited.strict_scan(spark, bad, schemas.RAW_INTERACTIONS).collect()
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = write(tmp_path / "a.dat", " NAME\textra\tid\tURL\nabba\te\t1\tu\nbach\te\t2\n")
+    rows = delimited.lenient_scan(spark, path, schemas.RAW_ARTISTS, optional=("pictureURL",))
+    assert rows.schema == schemas.RAW_ARTISTS
+    assert sorted(map(tuple, rows.collect())) == [("1", "abba", "u", None), ("2", "bach", None, None)]
+    path = write(tmp_path / "b.dat", "artistID\tnote\tuserID\tweight\n7\tx\t1\t3\n")
+    rows = delimited.strict_scan(spark, path, schemas.RAW_INTERACTIONS)
+    assert rows.schema == schemas.RAW_INTERACTIONS and tuple(rows.first()) == (1, 7, 3.0)
+    with pytest.raises(ValueError, match="no column userID"):
+        delimited.strict_scan(spark, write(tmp_path / "c.dat", "user\tartistID\tweight\n1\t2\t3\n"), schemas.RAW_INTERACTIONS)
+
+
+def test_files_of_a_folder_must_share_their_header(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    write(tmp_path / "d" / "1.dat", "userID\tartistID\tweight\n1\t2\t3\n")
+    write(tmp_path / "d" / "2.dat", "artistID\tuserID\tweight\n1\t2\t3\n")
+    with pytest.raises(Exception, match="header"):
+        delimited.strict_scan(spark, str(tmp_path / "d"), schemas.RAW_INTERACTIONS).collect()
+
+
+def test_comma_scan_pads_short_rows_and_rejects_long_ones(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'id,composer,note\n1,"Bach, Johann","say ""x, y"""\n2,Cage\n')
+    rows = delimited.comma_scan(spark, path)
+    assert sorted(map(tuple, rows.collect())) == [("1", "Bach, Johann", 'say "x, y"'), ("2", "Cage", None)]
+    path = write(tmp_path / "b.csv", "id,composer\n1,Bach, Johann\n")
+    with pytest.raises(Exception, match="too many fields"):
+        delimited.comma_scan(spark, path).select("id").collect()
+
+
 def test_optional_table(spark, tmp_path):
     absent = tables.optional_table(spark, str(tmp_path / "none"), schemas.RECORDING_MAP)
     assert absent.schema == schemas.RECORDING_MAP and absent.isEmpty()
