@@ -6,14 +6,17 @@ is computed twice.  Paths are folders below ``raw`` and ``out``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..operators import catalog as cat
-from ..operators import quality, rollup, split, tags, tfidf
+from ..operators import extract, quality, resume, rollup, split, tags, tfidf
 from ..operators.ratings import rate_interactions
 from ..session import materialize
 from ..sources import delimited, payloads, tables
+from ..sources.audio import audio_files
 
 
 def catalog_step(spark: SparkSession, raw: str, out: str) -> None:
@@ -91,6 +94,23 @@ def tag_step(spark: SparkSession, raw: str, out: str) -> None:
     tables.write_table(checked, f"{out}/tag_features")
 
 
+def extract_step(spark: SparkSession, folder: str, out: str, which: str, extractor: Callable[[bytes], dict[str, float]], features: list[str],
+                 pattern: str = "*.wav") -> None:
+    """Features of the mapped recordings that have none yet and whose file is in ``folder``; run again, it does what is left.
+
+    Failures and the ids without a file are tables of their own.
+    """
+    path = f"{out}/audio_features_{which}"
+    requested = tables.optional_table(spark, f"{out}/recording_map", schemas.RECORDING_MAP)
+    done = tables.optional_table(spark, path, schemas.RECORDING_IDS)
+    files = audio_files(spark, folder, pattern)
+    work = materialize(resume.work_list(requested, done, files), "work-list")
+    tables.write_table(resume.missing_ids(work), f"{out}/missing_{which}")
+    wanted = files.join(resume.pending_ids(work), "musicnet_id", "left_semi")
+    extracted = materialize(extract.extract_features(extract.unprocessed(wanted, done), extractor, features), "extracted")
+    extract.append_batch(extracted, path, f"{out}/failures_{which}")
+
+
 def artist_audio_step(spark: SparkSession, features: str, out: str, which: str) -> None:
     """Roll one side's feature table up to artists, with their recordings as a table of its own; without a recording
     map both are empty."""

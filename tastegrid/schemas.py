@@ -24,6 +24,7 @@ RATINGS = _table(user_id=LONG, artist_id=LONG, artist=STR, rating=DBL)
 LABELLED_RATINGS = T.StructType([*RATINGS.fields, T.StructField("is_test", T.BooleanType(), True)])
 TAG_PAYLOADS = _table(artist_key=STR, payload=STR, status=STR)
 TAG_CACHE = _table(artist_key=STR, tags=T.ArrayType(STR))
+RECORDING_IDS = _table(musicnet_id=LONG)
 EXTRACTION_ERRORS = _table(musicnet_id=LONG, error=STR)
 
 # Column names of the raw files, once lower-cased, in the names used from there on.

@@ -13,8 +13,12 @@ def audio_files(spark: SparkSession, folder: str, pattern: str = "*.wav") -> Dat
 
     Select only ``musicnet_id`` and the scan lists the files without reading their bytes.
     """
+    return numbered_files(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder))
+
+
+def numbered_files(files: DataFrame) -> DataFrame:
+    """The same from Spark's own file rows, read at once or as a stream; numbers beyond 64 bits are no numbers."""
     stem = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select(
         coerce_id(F.when(F.regexp_like(stem, F.lit(r"^[0-9]+$")), stem)).alias("musicnet_id"), "path", "content"
     ).filter(F.col("musicnet_id").isNotNull())

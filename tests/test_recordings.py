@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tastegrid import constants as C
 from tastegrid.operators import extract, frames, resume, rollup
+from tastegrid.plans import prepare
 from tastegrid.sources.audio import audio_files
 from tastegrid.streaming.new_files import start_extraction
 
@@ -131,3 +132,31 @@ def test_extraction_as_stream_resumes(spark, folder, tmp_path):
     (folder / "5.wav").write_bytes(wav([5]))
     assert run() == [1, 2, 3, 5]
     assert [r["musicnet_id"] for r in spark.read.parquet(failed).collect()] == [4]
+
+
+def test_a_batch_run_again_adds_nothing(spark, folder, tmp_path):
+    done, failed = str(tmp_path / "done"), str(tmp_path / "failed")
+    (folder / "more").mkdir()
+    (folder / "more" / "1.wav").write_bytes(wav([9]))
+    files = spark.createDataFrame([(int(p.stem), str(p), p.read_bytes()) for p in sorted(folder.rglob("*.wav"))], "musicnet_id long, path string, content binary")
+    none = spark.createDataFrame([], "musicnet_id long")
+    chosen = extract.unprocessed(files, none, most=10)
+    assert sorted(r["musicnet_id"] for r in chosen.select("musicnet_id").collect()) == [1, 2, 3, 4]
+    batch = extract.extract_features(chosen, loudness, ["peak", "rms"]).cache()
+    # The first run broke off after a part of its features.
+    extract.features_of(batch).filter("musicnet_id = 2").write.parquet(done)
+    for _ in range(2):
+        extract.append_batch(batch, done, failed)
+        assert sorted(r["musicnet_id"] for r in spark.read.parquet(done).collect()) == [1, 2, 3]
+        assert [r["musicnet_id"] for r in spark.read.parquet(failed).collect()] == [4]
+
+
+def test_extract_step_resumes(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    found = spark.createDataFrame([(1, "x", i, "", "", "") for i in (1, 2, 4, 8)], MAP)
+    found.write.parquet(f"{out}/recording_map")
+    for _ in range(2):
+        prepare.extract_step(spark, str(folder), out, "train", loudness, ["peak", "rms"])
+        assert {r["musicnet_id"]: r["peak"] for r in spark.read.parquet(f"{out}/audio_features_train").collect()} == {1: 2.0, 2: 4.0}
+        assert [r["musicnet_id"] for r in spark.read.parquet(f"{out}/failures_train").collect()] == [4]
+        assert [r["musicnet_id"] for r in spark.read.parquet(f"{out}/missing_train").collect()] == [8]
