@@ -105,6 +105,17 @@ near AS (SELECT user_id, CAST(position AS INTEGER) AS position, neighbour_id, si
          FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity DESC, neighbour_id) AS position FROM sims)
          WHERE position <= 20)"""
 
+_NEAR_EXACT = f"""{_SPLIT},
+pts AS (SELECT user_id, artist_id, CAST(round_even(rating * 10000, 0) AS BIGINT) AS p FROM train),
+norms AS (SELECT user_id, sqrt(sum(p * p)::DOUBLE) AS norm FROM pts GROUP BY 1),
+dots AS (SELECT a.user_id, b.user_id AS neighbour_id, sum(a.p * b.p)::DOUBLE AS dot
+         FROM pts a JOIN pts b ON b.artist_id = a.artist_id AND b.user_id <> a.user_id GROUP BY 1, 2),
+sims AS (SELECT d.user_id, neighbour_id, dot / (na.norm * nb.norm) AS similarity
+         FROM dots d JOIN norms na ON na.user_id = d.user_id JOIN norms nb ON nb.user_id = neighbour_id),
+near AS (SELECT user_id, CAST(position AS INTEGER) AS position, neighbour_id, similarity
+         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity DESC, neighbour_id) AS position FROM sims)
+         WHERE position <= 20)"""
+
 _CATALOG = f"""artists AS (
   SELECT s_suppkey AS artist_id, {_f1('s_name')} AS artist, 's' AS url FROM supplier
   UNION ALL SELECT c_custkey + {_BASE}, {_f1('c_mktsegment')}, 'c' FROM customer)"""
@@ -346,5 +357,12 @@ weighted AS (SELECT n.user_id, t.artist_id, sum(similarity * rating) / sum(simil
              FROM near n JOIN train t ON t.user_id = n.neighbour_id GROUP BY 1, 2),
 own AS (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1)
 SELECT t.user_id, t.artist_id, t.rating, round(coalesce(w, m), 6) AS prediction
+FROM test t LEFT JOIN own USING (user_id) LEFT JOIN weighted USING (user_id, artist_id)""",
+    "knn_user_exact": f"WITH {_NEAR_EXACT} SELECT user_id, position, neighbour_id, round(similarity, 6) AS similarity FROM near",
+    "knn_predictions_exact": f"""WITH {_NEAR_EXACT},
+weighted AS (SELECT n.user_id, t.artist_id, sum(similarity * rating) / sum(similarity) AS w
+             FROM near n JOIN train t ON t.user_id = n.neighbour_id GROUP BY 1, 2),
+own AS (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1)
+SELECT t.user_id, t.artist_id, t.rating, round(coalesce(w, m), 6) AS prediction
 FROM test t LEFT JOIN own USING (user_id) LEFT JOIN weighted USING (user_id, artist_id)""",
 }

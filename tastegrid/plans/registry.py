@@ -469,12 +469,25 @@ def _neighbours(spark, d):
 
 @query
 def knn_user_cosine(spark, d):
-    """The 20 nearest users of every user, among those that lie near it in some projection."""
+    """The 20 most similar of the users that lie near each user in some projection; ``knn_user_exact`` has the true 20 nearest."""
     return _neighbours(spark, d)[2].withColumn("similarity", F.round("similarity", 6))
 
 
 @query
 def knn_predictions(spark, d):
-    """All test rows, predicted from their users' neighbours."""
+    """All test rows, predicted from their users' neighbours among those candidates."""
     train, test, near = _neighbours(spark, d)
     return neighbours.predict_from_neighbours(train, materialize(near, "neighbours"), test).withColumn("prediction", F.round("prediction", 6))
+
+
+@query
+def knn_user_exact(spark, d):
+    """The 20 nearest users of every user, compared with all that share an artist with it."""
+    return neighbours.nearest_users_exact(_sides(spark, d)[0]).withColumn("similarity", F.round("similarity", 6))
+
+
+@query
+def knn_predictions_exact(spark, d):
+    """All test rows, predicted from their users' exact neighbours."""
+    train, test = _sides(spark, d)
+    return neighbours.predict_from_neighbours(train, neighbours.nearest_users_exact(train), test).withColumn("prediction", F.round("prediction", 6))
