@@ -162,7 +162,7 @@ def extract(pages: list[str | None], model: tuple[np.ndarray, np.ndarray]) -> li
     w, edge = model
     out = []
     for start in range(0, len(pages), PAGES_PER_RUN):
-        parsed = [Page(p or "") for p in pages[start:start + PAGES_PER_RUN]]
+        parsed = [Page(p or "", labelled=False) for p in pages[start:start + PAGES_PER_RUN]]
         x, parent, depths, base = features(parsed)
         main = marginals(x @ w, parent, depths, edge) > 0.5
         out += ["\n".join(text for node, text, _ in p.segments if main[b + node]) for p, b in zip(parsed, base)]

@@ -39,24 +39,24 @@ _ENDS_ITEM = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr"
 _ITEM_SCOPE = frozenset("ul ol dl table select menu".split())
 _NEXT = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
 _TAG_END = re.compile(r"(?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+>")
-_NAMES = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|data-y)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 STATIC = [f"tag:{g}" for g in TAG_GROUPS] + [f"hint:{h}" for h in HINTS]
 DYNAMIC = ["bias", "own", "own10", "own25", "sentences", "links", "mostly_links", "below", "share", "paragraphs", "no_text"]
 _PLACE = {name: i for i, name in enumerate(STATIC)}
-_static: dict[tuple[str, str], tuple[list[int], int | None]] = {}
+_static: dict[tuple[str, str], tuple[list[int], str | None]] = {}
 
 
-def _static_features(tag: str, attributes: str) -> tuple[list[int], int | None]:
-    """Indexes of the features that hold for a tag with these attributes, and the label it carries if any."""
+def _static_features(tag: str, attributes: str) -> tuple[list[int], str | None]:
+    """Indexes of the features that hold for a tag with these attributes, and the value of its ``data-y`` if any."""
     found = _static.get((tag, attributes))
     if found is None:
         on, label = {_PLACE[f"tag:{_GROUP[tag]}"]}, None
-        for name, *values in _NAMES.findall(attributes):
+        for name, *values in _ATTRIBUTE.findall(attributes):
             value, name = "".join(values), name.lower()
             if name == "data-y":
-                label = int(value)
+                label = value
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
                 on.add(_PLACE["hint:hidden"])
             elif name in ("class", "id", "role"):
@@ -68,9 +68,13 @@ def _static_features(tag: str, attributes: str) -> tuple[list[int], int | None]:
 
 
 class Page:
-    """``parent``, ``static`` (feature indexes) and ``label`` by node in page order; ``segments``: (node, text, characters in links)."""
+    """``parent``, ``static`` (feature indexes) and ``label`` by node in page order; ``segments``: (node, text, characters in links).
 
-    def __init__(self, source: str):
+    Labels are read from ``data-y`` if ``labelled``, which only pages made for fitting are; else all are 0.
+    """
+
+    def __init__(self, source: str, labelled: bool = True):
+        self.labelled = labelled
         self.parent, self.static, self.label, self.tags = [-1], [[_PLACE["tag:root"]]], [0], ["#root"]
         self.segments: list[tuple[int, str, int]] = []
         self._read(source)
@@ -153,7 +157,7 @@ class Page:
                     continue
                 static, label = _static_features(tag, source[found.end():at - 1])
                 self.static.append(static)
-                self.label.append(self.label[stack[-1]] if label is None else label)
+                self.label.append(int(label) if self.labelled and label is not None else self.label[stack[-1]])
                 self.parent.append(stack[-1])
                 self.tags.append(tag)
                 stack.append(len(self.tags) - 1)

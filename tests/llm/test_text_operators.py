@@ -101,6 +101,22 @@ def test_page_text_odd_pages(spark, model):
     assert html_text.extract_main_text(df.limit(0), model).count() == 0
 
 
+def test_page_text_reads_attributes_by_name_and_no_labels(spark, model):
+    body = "<p>One &amp; two and more words here, yes.</p><p>Second part, of it, with words.</p>"
+    plain = html_text.extract([f"<article>{body}</article>"], model)[0]
+    assert plain == "One & two and more words here, yes.\nSecond part, of it, with words."
+    odd = ['data-y="bottom"', 'data-y="12.5"', 'data-y-offset="3"', "data-y", "data-y=0", 'title="hidden treasures"', 'data-hidden="false"', "title='see id=footer'", 'data-class="ad"', "not-hidden"]
+    pages = [f"<article {a}>{body}</article>" for a in odd]
+    assert html_text.extract(pages, model) == [plain] * len(odd)
+    for page in pages:
+        assert Page(page, labelled=False).static == Page(f"<article>{body}</article>").static and not any(Page(page, labelled=False).label)
+    hidden = Page("<article hidden>x</article>", labelled=False).static
+    assert hidden != Page("<article>x</article>").static
+    assert all(Page(f"<article {a}>x</article>", labelled=False).static == hidden for a in ('title="a>b"HIDDEN', "/hidden", "hidden=''", "style='display: none'", 'aria-hidden = "true"'))
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.lit("u"))
+    assert {r.text for r in html_text.extract_main_text(df, model).collect()} == {plain}
+
+
 # --- winnowing --------------------------------------------------------------------------------
 
 
