@@ -2,11 +2,12 @@
 
 Letters are lower-cased, every run of other characters is one gap, and the 1- to 3-grams of that
 sequence are hashed into ``buckets``.  Learning is one pass that counts (language, bucket) inside
-each task and sums the counts in Spark.  The log-probability matrix is broadcast; scoring gathers
-a text's distinct buckets with their counts and multiplies them with the matrix in numpy.
+each task and sums the counts in Spark, which stores them.  The log-probability matrix is broadcast;
+scoring gathers a text's distinct buckets with their counts and multiplies them with the matrix in numpy.
 
-Bounds: the matrix has at most ``MAX_LANGUAGES`` rows (the languages with the most labelled
-documents; a documented limit of the model, no row is left unscored) and ``BUCKETS`` columns: 16 MB.
+Every label is learned.  One pass scores ``PASS`` languages (64 MB of matrix, ``BUCKETS`` columns), ``SLICE``
+of them at once; where there are more, the best language so far and the sum of all likelihoods
+relative to it are stored with the rows and the next pass goes on from there.
 Texts are cut into pieces of ``PIECE`` characters for counting, so memory does not grow with them.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, as is everything when
@@ -16,6 +17,7 @@ the first language in text order wins.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
-MAX_LANGUAGES = 256
+PASS = 1024
+SLICE = 256
 SMOOTHING = 0.5
 PIECE = 1 << 18
 UNKNOWN = "und"
@@ -77,65 +82,103 @@ def bucket_counts(codes: np.ndarray, buckets: int = BUCKETS, orders: tuple[int,
     return counts
 
 
-def learn(examples: DataFrame, buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, log priors and the matrix (bucket, language) from columns text and lang."""
+def count_grams(examples: DataFrame, buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS) -> DataFrame:
+    """``(lang, bucket, n)``, stored, from columns text and lang; bucket -1 has the number of documents with letters."""
     labelled = examples.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    classes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select("lang")
-    known = sorted(r["lang"] for r in classes.collect())
-    place = {x: i for i, x in enumerate(known)}
+    most = SLICE
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((len(known), buckets), dtype=np.int64)
-        docs = np.zeros(len(known), dtype=np.int64)
+        totals, docs = {}, {}
+
+        def counted():
+            for lang, n in docs.items():
+                hit = np.flatnonzero(totals[lang])
+                yield pd.DataFrame({"lang": lang, "bucket": np.append(hit, -1), "n": np.append(totals[lang][hit], n)})
+            totals.clear()
+            docs.clear()
+
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"]):
                 codes = letter_codes(text)
-                if lang in place and len(codes):
-                    totals[place[lang]] += bucket_counts(codes, buckets, orders)
-                    docs[place[lang]] += 1
-        for i in np.flatnonzero(docs):
-            hit = np.flatnonzero(totals[i])
-            yield pd.DataFrame({"lang": int(i), "bucket": hit, "n": totals[i][hit]})
-            yield pd.DataFrame({"lang": [int(i)], "bucket": [-1], "n": [docs[i]]})
-
-    if not known:
-        return [], np.zeros(0), np.zeros((buckets, 0), dtype=np.float32)
-    summed = labelled.mapInPandas(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts, docs = np.zeros((buckets, len(known))), np.zeros(len(known))
-    words = summed[summed["bucket"] >= 0]
-    counts[words["bucket"], words["lang"]] = words["n"]
-    heads = summed[summed["bucket"] < 0]
-    docs[heads["lang"]] = heads["n"]
-    seen = docs > 0
-    known, counts, docs = [x for x, s in zip(known, seen) if s], counts[:, seen], docs[seen]
-    matrix = np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * buckets))
-    return known, np.log(docs / docs.sum()) if known else docs, matrix.astype(np.float32)
-
-
-def score_text(text: str | None, known: list[str], priors: np.ndarray, matrix: np.ndarray, orders: tuple[int, ...] = ORDERS) -> tuple[str, float]:
-    """Most probable language and its probability."""
+                if not len(codes):
+                    continue
+                if lang not in docs:
+                    if len(docs) == most:
+                        yield from counted()
+                    totals[lang], docs[lang] = np.zeros(buckets, dtype=np.int64), 0
+                totals[lang] += bucket_counts(codes, buckets, orders)
+                docs[lang] += 1
+        yield from counted()
+
+    summed = labelled.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return materialize(summed, "language-counts")
+
+
+def learn(counts: DataFrame, docs: dict[str, int], known: list[str], buckets: int = BUCKETS) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The languages ``known``, their log priors among all of ``docs`` and the matrix (bucket, language)."""
+    matrix = np.zeros((buckets, len(known)), dtype=np.float32)
+    for start in range(0, len(known), SLICE):
+        part = known[start:start + SLICE]
+        place = {x: i for i, x in enumerate(part)}
+        words = counts.filter((F.col("bucket") >= 0) & F.col("lang").isin(part)).toPandas()
+        held = np.zeros((buckets, len(part)))
+        held[words["bucket"], words["lang"].map(place).astype(int)] = words["n"]
+        matrix[:, start:start + len(part)] = np.log((held + SMOOTHING) / (held.sum(axis=0) + SMOOTHING * buckets))
+    priors = np.log(np.array([docs[x] for x in known]) / sum(docs.values())) if known else np.zeros(0)
+    return known, priors, matrix
+
+
+def score_text(text: str | None, known: list[str], priors: np.ndarray, matrix: np.ndarray, orders: tuple[int, ...] = ORDERS,
+               best: tuple[str | None, float | None, float | None] = (None, None, None), width: int = SLICE) -> tuple[str | None, float | None, float | None]:
+    """Most probable language so far, its log-likelihood, and the sum of all likelihoods relative to it; ``best`` is that of earlier languages."""
     codes = letter_codes(text) if text else ()
     if not len(codes) or not known:
-        return UNKNOWN, 0.0
+        return best
+    lang, top, total = best
     counts = bucket_counts(codes, len(matrix), orders)
     hit = np.flatnonzero(counts)
-    joint = priors + counts[hit].astype(np.float64) @ matrix[hit].astype(np.float64)
-    best = int(np.argmax(joint))
-    return known[best], float(1.0 / np.exp(joint - joint[best]).sum())
+    times = counts[hit].astype(np.float64)
+    for start in range(0, len(known), width):
+        joint = priors[start:start + width] + times @ matrix[hit, start:start + width].astype(np.float64)
+        place = int(np.argmax(joint))
+        most, added = float(joint[place]), float(np.exp(joint - joint[place]).sum())
+        if top is None or most > top:
+            total = added + (total * math.exp(top - most) if top is not None else 0.0)
+            lang, top = known[start + place], most
+        else:
+            total += added * math.exp(most - top)
+    return lang, top, total
 
 
 def identify(docs: DataFrame, examples: DataFrame, keep: list[Column | str], buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """The columns ``keep`` of every row of ``docs`` with ``lang_pred`` and ``score``."""
-    model = docs.sparkSession.sparkContext.broadcast(learn(examples, buckets, orders))
+    counts = count_grams(examples, buckets, orders)
+    heads = {r["lang"]: r["n"] for r in counts.filter("bucket = -1").select("lang", "n").collect()}
+    known = sorted(heads)
+    parts = [known[i:i + PASS] for i in range(0, len(known), PASS)] or [[]]
     rows = docs.select(*keep, F.col("text").alias("_text"))
     kept = rows.columns[:-1]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    for part in parts:
+        model = docs.sparkSession.sparkContext.broadcast(learn(counts, heads, part, buckets))
+        if part is parts[-1]:
+            return rows.mapInArrow(_scorer(model, orders, kept, True), f"{fields}, lang_pred string, score double")
+        rows = materialize(rows.mapInArrow(_scorer(model, orders, kept, False), f"{fields}, _text string, _lang string, _top double, _total double"), "language-pass")
+
+
+def _scorer(model, orders: tuple[int, ...], kept: list[str], last: bool):
+    n, width = len(kept), SLICE
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:  # Arrow keeps 64-bit ids exact beside nulls
-            found = [score_text(t, *model.value, orders) for t in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                *batch.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                [*kept, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(score, f"{fields}, lang_pred string, score double")
+            texts = batch.column(n).to_pylist()
+            before = zip(*[batch.column(n + i).to_pylist() for i in (1, 2, 3)]) if batch.num_columns > n + 1 else [(None, None, None)] * len(texts)
+            found = [score_text(t, *model.value, orders, b, width) for t, b in zip(texts, before)]
+            if last:
+                added = [pa.array([UNKNOWN if f[0] is None else f[0] for f in found], pa.string()), pa.array([1.0 / f[2] if f[2] else 0.0 for f in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *added], [*kept, "lang_pred", "score"])
+            else:
+                added = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n + 1], *added], [*kept, "_text", "_lang", "_top", "_total"])
+
+    return score

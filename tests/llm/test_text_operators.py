@@ -45,6 +45,23 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(docs, docs.limit(0), ["doc_id"]).collect()} == {"und"}
 
 
+def test_language_learns_every_label(spark, monkeypatch):
+    """More labels than one pass or slice holds; labels of letterless rows do not count."""
+    names = [f"l{i:03d}" for i in range(300)]
+    words = {x: " ".join(chr(0x4E00 + 7 * i + j) * 3 for j in range(7)) for i, x in enumerate(names)}
+    rows = [(i, words[x], x) for i, x in enumerate(names)] + [(1000 + i, "12 34 !", f"a{i % 3}") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    once = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, docs, ["doc_id"]).collect()}
+    assert all(once[i][0] == x and once[i][1] > 0.5 for i, x in enumerate(names))
+    assert all(once[1000 + i] == ("und", 0.0) for i in range(9))
+    monkeypatch.setattr(language, "PASS", 130)
+    monkeypatch.setattr(language, "SLICE", 50)
+    passes = language.identify(docs, docs, ["doc_id"])
+    assert passes.columns == ["doc_id", "lang_pred", "score"]
+    for r in passes.collect():
+        assert r.lang_pred == once[r.doc_id][0] and abs(r.score - once[r.doc_id][1]) < 1e-9
+
+
 # --- page text --------------------------------------------------------------------------------
 
 
