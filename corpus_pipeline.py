@@ -9,7 +9,7 @@ Further columns than those of ``documents`` are left out at the start of a stage
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.llm import jaccard, language, mixing, packing, queries
@@ -27,14 +27,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the least id stays; of repeated rows, one."""
-    docs = docs.select(*COLUMNS)
-    found = materialize(jaccard.jaccard_components(docs).select("doc_id", "component_id"), "pipeline-groups")
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(stays, docs["doc_id"].eqNullSafe(stays["doc_id"]), "left_semi")
-    hashed = kept.withColumn("_hash", F.xxhash64("text"))
-    one = Window.partitionBy(F.coalesce("doc_id", "_hash")).orderBy(F.col("_hash"), F.col("source"))
-    return hashed.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*COLUMNS)
+    """Of each group of near-duplicates the row of the least (doc_id, row number) stays; of repeated rows without words, one.
+
+    Rows are numbered and stored first, so rows are compared by their texts, also where they share an id or have none.
+    """
+    rows = materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_id")), "pipeline-numbered")
+    groups = jaccard.jaccard_components(rows.select(F.col("row_id").alias("doc_id"), "text"))
+    found = materialize(groups.select(F.col("doc_id").alias("row_id"), "n_shingles", "component_id"), "pipeline-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
+    worded = found.filter("n_shingles > 0").join(rows.select("row_id", "doc_id"), "row_id")
+    stays = worded.groupBy("component_id").agg(first.alias("first")).select("first.row_id")
+    bare = rows.join(found.filter("n_shingles = 0").select("row_id"), "row_id", "left_semi").select(*COLUMNS).distinct()
+    return rows.join(stays, "row_id", "left_semi").select(*COLUMNS).unionByName(bare)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -329,6 +329,19 @@ def test_pipeline_mixes_repeated_rows_once_each(spark):
     assert [r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, df, SF).filter("text IS NOT NULL").collect()] == [2**60 + 1]
 
 
+def test_pipeline_near_duplicates_go_by_text_not_by_id(spark):
+    texts = {x: " ".join(f"{x}{i} {x}{i * 7 % 40}" for i in range(40)) for x in "pqrst"}
+    rows = [(1, texts["p"]), (1, texts["q"]), (2, texts["q"] + " more"), (None, texts["r"]), (None, texts["r"] + " more"), (3, texts["s"]), (None, texts["s"] + " more"),
+            (0, texts["t"]), (5, texts["t"] + " more"), (5, "unlike all others here in every word of it"), (7, ""), (7, ""), (8, None), (None, None), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], DOC).repartition(4)
+    got = corpus_pipeline.near_duplicate_stage(spark, df, SF)
+    kept = Counter((r.doc_id, r.text) for r in got.collect())
+    either = [(None, texts["r"]), (None, texts["r"] + " more")]
+    assert sum(kept.pop(x, 0) for x in either) == 1
+    assert kept == Counter([(1, texts["p"]), (1, texts["q"]), (3, texts["s"]), (0, texts["t"]), (5, rows[9][1]), (7, ""), (8, None), (None, None)])
+    assert got.columns == corpus_pipeline.COLUMNS and corpus_pipeline.near_duplicate_stage(spark, df.limit(0), SF).count() == 0
+
+
 def test_ids_stay_exact_beside_nulls(spark):
     big = 2**60 + 1
     df = docs(spark, [(big, "some text of a document", "a"), (None, "another text of a document", "a"), (big + 1, "x y z", None)]).coalesce(1)
