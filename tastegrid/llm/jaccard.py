@@ -123,6 +123,16 @@ def count_vector(tokens: np.ndarray, groups: int = GROUPS, kind: type = np.uint1
     return counts.astype(kind) if counts.max() < most else np.full(groups, most, dtype=kind)
 
 
+def overlap_bounds(vectors: np.ndarray, sizes: np.ndarray | int, vector: np.ndarray) -> np.ndarray:
+    """Most that sets with the count vectors ``vectors`` (or in boxes with these corners) share with a set of ``vector``.
+
+    ``sizes`` is a bound that always holds; it counts where both vectors overflowed, for two such vectors bound nothing.
+    """
+    most = np.iinfo(vectors.dtype).max
+    bound = np.minimum(vectors, vector).sum(axis=-1, dtype=np.int64)
+    return np.where((vectors[..., 0] == most) & (vector[..., 0] == most), sizes, bound)
+
+
 def needed_overlap(a, b, percent: int = PERCENT):
     """Least size of the intersection of sets of sizes a and b: 100 i >= percent (a + b - i)."""
     return -(-(percent * (a + b)) // (100 + percent))
@@ -153,12 +163,12 @@ class CountTree:
         places = np.arange(len(self.levels[-1][0]) if self.levels else len(self.vectors))
         for depth in range(len(self.levels) - 1, -1, -1):
             corner, least = self.levels[depth]
-            bound = np.minimum(corner[places], vector).sum(axis=1, dtype=np.int64)
+            bound = overlap_bounds(corner[places], size, vector)
             places = places[bound >= needed_overlap(least[places], size, percent)]
             below = len(self.levels[depth - 1][0]) if depth else len(self.vectors)
             places = (places[:, None] * FANOUT + np.arange(FANOUT)).ravel()
             places = places[places < below]
-        bound = np.minimum(self.vectors[places], vector).sum(axis=1, dtype=np.int64)
+        bound = overlap_bounds(self.vectors[places], size, vector)
         keep = bound >= needed_overlap(self.sizes[places], size, percent)
         return self.order[places[keep]], bound[keep]
 
@@ -169,7 +179,7 @@ def _bucket_pairs(bucket: dict[str, np.ndarray], rounds: int, percent: int) -> l
     vectors, sizes = bucket["vector"], sizes.astype(np.int64)
     left = sizes - places
     if len(ids) <= ONE_LEAF:
-        bounds = np.minimum(vectors[:, None], vectors[None]).sum(axis=2, dtype=np.int64)
+        bounds = overlap_bounds(vectors[:, None], sizes[:, None], vectors[None])
         near = [(np.flatnonzero(r), b[r]) for r, b in zip(bounds >= needed_overlap(sizes[:, None], sizes[None], percent), bounds)]
     else:
         tree = CountTree(vectors, sizes)
@@ -203,7 +213,7 @@ def _two_by_two(rows: dict[str, np.ndarray], at: np.ndarray, rounds: int, percen
     need = needed_overlap(rows["n"][at].astype(np.int64), rows["n"][at + 1], percent)
     keep = np.minimum(rows["n"][at] - rows["place"][at], rows["n"][at + 1] - rows["place"][at + 1]) >= need
     at, need = at[keep], need[keep]
-    bound = np.minimum(rows["vector"][at], rows["vector"][at + 1]).sum(axis=1, dtype=np.int64)
+    bound = overlap_bounds(rows["vector"][at], rows["n"][at], rows["vector"][at + 1])
     return [(i, i + 1) for i in at[bound >= need].tolist()]
 
 
@@ -221,6 +231,8 @@ def _search(rows: DataFrame, rounds: int, percent: int) -> DataFrame:
             token, cell = rest["token"].to_numpy(), rest["cell"].to_numpy()
             edges = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (cell[1:] != cell[:-1])) + 1, [rest.num_rows] if last else []))
             edges = edges.astype(np.int64)
+            if len(edges) < 2:  # all rows so far are of one bucket, and more of it may follow
+                continue
             whole = rest.slice(0, int(edges[-1]))
             columns = {c: whole[c].to_numpy() for c in names}
             columns["vector"] = np.frombuffer(b"".join(whole["vector"].to_pylist()), dtype=np.uint16).reshape(whole.num_rows, -1)
@@ -366,6 +378,8 @@ def _bounded(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     """The pairs that the finer count vectors leave."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for c in ("a_fine", "b_fine"))
             a, b, n, m = (batch.column(c).to_numpy() for c in ("a", "b", "a_n", "b_n"))
             bound = np.minimum(one, two).sum(axis=1, dtype=np.int64)

@@ -195,6 +195,55 @@ def test_join_finds_the_components_of_all_pairs(spark, block):
     assert Counter(map(tuple, got)) == Counter(linked_components(rows))
 
 
+@pytest.fixture
+def settings(spark):
+    """Sets session settings for one test."""
+    before = {}
+
+    def put(key, value):
+        before.setdefault(key, spark.conf.get(key))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("batch,parts", [(1, 1), (1, 40)])
+def test_join_in_any_layout(spark, settings, batch, parts):
+    """One row a batch, one task for all buckets, nearly one for each."""
+    settings("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    settings("spark.sql.shuffle.partitions", str(parts))
+    settings("spark.sql.adaptive.enabled", "false")
+    texts = near_copies(random.Random(batch + parts), 10 if parts > 1 else 40) + [None, "same words", "same words"]
+    rows = [(i * 7 % 1009, t) for i, t in enumerate(texts)]
+    got = jaccard.jaccard_components(docs(spark, rows, "doc_id long, text string"), block=3).collect()
+    assert Counter(map(tuple, got)) == Counter(linked_components(rows))
+
+
+def test_join_of_two_texts_with_one_leading_token(spark):
+    rows = [(1, "a b c d e f g h i"), (2, "a b c d e f g h i j"), (3, "a b c d e f g h i j")]
+    got = jaccard.jaccard_components(docs(spark, rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, got)) == Counter(linked_components(rows))
+
+
+def test_vectors_that_overflow_bound_nothing():
+    """Counts of one byte, sets of up to 70,000 tokens: no pair that is similar enough is left out."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 70_000).astype(np.uint64)
+    sets = [np.unique(base[:n]) for n in (70_000, 66_000, 60_000, 20_000)] + [np.unique(base[i::7]) for i in range(3)] + [base[:50], base[:45]]
+    vectors = np.stack([jaccard.count_vector(s, 16, np.uint8) for s in sets] * 9)
+    sizes = np.array([len(s) for s in sets] * 9)
+    assert (vectors[0] == 255).all() and (vectors[7] < 255).all()
+    both = [len(np.intersect1d(s, t)) for s in sets for t in sets]
+    shared = np.tile(np.array(both).reshape(len(sets), -1), (9, 9))
+    assert (jaccard.overlap_bounds(vectors[:, None], sizes[:, None], vectors[None]) >= shared).all()
+    tree = jaccard.CountTree(vectors, sizes)
+    for i in range(len(sets)):
+        need = jaccard.needed_overlap(sizes, int(sizes[i]))
+        assert set(np.flatnonzero(shared[i] >= need)) <= set(tree.candidates(vectors[i], int(sizes[i]), 80)[0].tolist())
+
+
 def test_common_tokens_are_split_and_counted_whole(spark):
     base = [f"w{i}" for i in range(60)]
     rows = [(n, " ".join(base[:n % 56] + [f"x{n}"] + base[n % 56 + 1:]), "a") for n in range(1, 181)] + [(999, "nothing like the others in any of these words", "a")]
