@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import connect, same
+from tastegrid.plans.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Their column set follows the data: compared at the scale the SQL names.
@@ -32,7 +33,7 @@ def test_equals_sql(results, name):
     assert same(results(name).toPandas(), con.sql(oracle_sql()[name]).df()) == ""
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan(results, name):
     """No product of tables; Python only where a caller's extractor runs."""
     plan = plan_of(results(name))
