@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_text, jaccard, language, mixing, packing, sharding, urls, warc, winnow
+from . import align, ann, html_text, jaccard, language, mixing, packing, sharding, urls, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,6 +29,12 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def alignment_paths() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def held_out() -> F.Column:
     """One third of the ids, by checksum; a null id is not held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -89,6 +95,11 @@ def op10_winnowing(spark, d):
     return winnow.compare_with_following(table(spark, d, "documents"))
 
 
+@query
+def op11_align(spark, d):
+    return align.link_statistics(table(spark, d, "documents"), *alignment_paths())
+
+
 _MIX = r"""
 WITH docs AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
