@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, ann, html_text, jaccard, language, mixing, packing, sharding, urls, warc, winnow
+from . import align, ann, html_text, jaccard, language, mixing, packing, repair, sharding, urls, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -100,6 +100,11 @@ def op11_align(spark, d):
     return align.link_statistics(table(spark, d, "documents"), *alignment_paths())
 
 
+@query
+def op12_repair(spark, d):
+    return repair.repair_statistics(table(spark, d, "conversations"))
+
+
 _MIX = r"""
 WITH docs AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -152,4 +157,80 @@ WITH rests AS (
 SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM judged
 """
 
-ORACLES = {"op1_mixing": _MIX, "op7_url_filter": _URLS}
+
+
+def _then(value: str, cost: str, edit: str) -> str:
+    """A weight, nine digits of cost and the audit, with one more edit before it."""
+    return f"(lpad(CAST(CAST(left({value}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || '{edit}' || substr({value}, 10))"
+
+
+def _stays(letter: str, kept: str, given: str) -> str:
+    return f"""CASE WHEN fault NOT IN ('b', 'd') AND letter = '{letter}' THEN {_then(kept, "(fault = 't')::BIGINT", "K")} END,
+            CASE WHEN fault NOT IN ('b', 'd') THEN {_then(given, "2 + (fault = 't')::BIGINT", "R")} END"""
+
+
+_REPAIR = rf"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), kinds AS (
+    SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(k)), lambda i: CAST(ascii(substr(k, CAST(i AS INTEGER) + 1, 1)) AS BIGINT))),
+        lambda sum_, byte_: list_reduce(list_prepend(xor(sum_, byte_), range(8)),
+            lambda x, step_: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 20 AS kind
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM kinds, (SELECT unnest([0, 1]) AS copy) WHERE kind <> 0 AND (kind = 3 OR copy = 0)
+), placed AS (
+    SELECT *, substr(role, 1, 1) AS letter, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS place FROM damaged
+), faulty AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'd'
+        WHEN regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+        lag(letter) OVER (PARTITION BY conv_id ORDER BY place) || letter AS two
+    FROM placed
+), counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+        count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faulty GROUP BY conv_id
+), weighed AS (
+    SELECT conv_id, n + 1 AS place, '000000000' AS v0, '000000004II' AS v1, '000000002I' AS v2, '000000000' AS v3 FROM counted
+    UNION ALL
+    SELECT conv_id, place, least(w0, {_then("w2", "2", "I")}, {_then(_then("w3", "2", "I"), "2", "I")}),
+        least(w1, {_then("w2", "2", "I")}, {_then(_then("w3", "2", "I"), "2", "I")}), least(w2, {_then("w3", "2", "I")}), least(w3, {_then("w2", "2", "I")})
+    FROM (
+        SELECT w.conv_id, f.place,
+            least({_then("v0", "3", "D")}, CASE WHEN fault NOT IN ('b', 'd') AND letter = 's' THEN {_then("v1", "(fault = 't')::BIGINT", "K")} END,
+            {_stays("u", "v2", "v2")}) AS w0,
+            least({_then("v1", "3", "D")}, {_stays("u", "v2", "v2")}) AS w1,
+            least({_then("v2", "3", "D")}, {_stays("a", "v3", "v3")}) AS w2,
+            least({_then("v3", "3", "D")}, {_stays("u", "v2", "v2")}) AS w3
+        FROM weighed w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.place = w.place - 1
+    )
+), best AS (
+    SELECT conv_id, CAST(left(v0, 9) AS BIGINT) AS cost, substr(v0, 10) AS audit FROM weighed WHERE place = 1
+), letters AS (
+    SELECT conv_id, audit, i, substr(audit, CAST(i AS INTEGER), 1) AS edit FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS i FROM best)
+), turns AS (
+    SELECT *, sum(CAST(edit <> 'I' AS BIGINT)) OVER w AS place, sum(CAST(edit <> 'D' AS BIGINT)) OVER w AS number,
+        length(replace(audit, 'D', '')) % 2 AS odd
+    FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+), lines AS (
+    SELECT t.conv_id, string_agg(CASE WHEN edit = 'K' THEN role ELSE CASE WHEN (number - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+        || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS lines
+    FROM turns t JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.place = greatest(t.place, 1) WHERE edit <> 'D' GROUP BY t.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+ORACLES = {"op1_mixing": _MIX, "op7_url_filter": _URLS, "op12_repair": _REPAIR}
