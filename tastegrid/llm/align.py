@@ -30,16 +30,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 ENCODE = 1 << 18
 PRODUCTS = 1 << 20
 LIST_ROWS = 1 << 16
+MOST_WORDS = 1 << 18
+LONGEST_WORD = 64
+
+# How byte-level vocabularies of this family cut a text before they merge, and characters whose kinds (letter, number, space)
+# are the same in all Unicode tables.
+CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+SETTLED = re.compile(r"[\t\n\r -~¡-ɏ‐-‧]*")
 
 
 # --- sparse rows ------------------------------------------------------------------------------
@@ -159,6 +167,30 @@ class Encoders:
             entries[i] = byte_level_entry(token, alphabet)
         self.a_bytes = TokenBytes(entries)
         self.b_bytes = TokenBytes([piece_entry(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())])
+        self.words: dict[str, list[int]] = {}
+
+    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids on side A.  Merges never cross a cut, so the words of texts of settled characters are encoded once each and kept; other texts are encoded whole."""
+        out: list = [None] * len(texts)
+        whole = []
+        for i, text in enumerate(texts):
+            if not SETTLED.fullmatch(text):
+                whole.append(i)
+                continue
+            ids: list[int] = []
+            for word in CUT.findall(" " + text):
+                known = self.words.get(word)
+                if known is None:
+                    known = self.a.encode(word, add_special_tokens=False).ids
+                    if len(word) <= LONGEST_WORD:
+                        if len(self.words) >= MOST_WORDS:
+                            self.words.clear()
+                        self.words[word] = known
+                ids += known
+            out[i] = np.array(ids, dtype=np.int32)
+        for i, e in zip(whole, self.a.encode_batch_fast([" " + texts[i] for i in whole], add_special_tokens=False)):
+            out[i] = np.array(e.ids, dtype=np.int32)
+        return out
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text on both sides; encoded a few at a time, so that few ids are Python objects."""
@@ -167,7 +199,7 @@ class Encoders:
             held.append(text)
             size += len(text)
             if size >= ENCODE or i + 1 == len(texts):
-                a += [np.array(e.ids, dtype=np.int32) for e in self.a.encode_batch_fast([" " + t for t in held], add_special_tokens=False)]
+                a += self._encode_a(held)
                 b += [np.array(ids, dtype=np.int32) for ids in self.b.encode(held, num_threads=1)]
                 held, size = [], 0
         return a, b
