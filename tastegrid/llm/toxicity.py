@@ -77,23 +77,35 @@ def counted_buckets(word: str) -> np.ndarray:
 # --- the chain --------------------------------------------------------------------------------
 
 
-def chain_marginals(scores: list[float], pairs: list[float]) -> tuple[list[float], list[float], list[float]]:
-    """Forward ratios, backward ratios and marginals of state 1.
+def weight_of(score: float) -> float:
+    return math.exp(min(max(score, -40.0), 40.0))
+
+
+def chain_sums(own: list[float], pairs: list[float]) -> tuple[list[float], list[float]]:
+    """Forward and backward ratios: a sum over state 1 divided by that over state 0 is all that a chain of two states has to hand on.
 
-    ``scores`` are log weights of state 1 against 0, ``pairs`` the weights (not logs) of 00, 01, 10, 11.  A sum over the state 1
-    divided by that over the state 0 is all that a chain of two states has to hand on.
+    ``own`` are the tokens' weights of state 1 against 0, ``pairs`` the weights of 00, 01, 10, 11 (no logs).
     """
     p00, p01, p10, p11 = pairs
-    own = [math.exp(min(max(s, -40.0), 40.0)) for s in scores]
-    forward, ratio = [], 0.0
-    for i, w in enumerate(own):
-        ratio = w if i == 0 else w * (p01 + p11 * ratio) / (p00 + p10 * ratio)
+    if not own:
+        return [], []
+    ratio = own[0]
+    forward, backward = [ratio], [1.0]
+    for w in own[1:]:
+        ratio = w * (p01 + p11 * ratio) / (p00 + p10 * ratio)
         forward.append(ratio)
-    backward, ratio = [1.0] * len(own), 1.0
-    for i in range(len(own) - 2, -1, -1):
-        next_ = own[i + 1] * ratio
-        ratio = (p10 + p11 * next_) / (p00 + p01 * next_)
-        backward[i] = ratio
+    ratio = 1.0
+    for w in own[:0:-1]:
+        w *= ratio
+        ratio = (p10 + p11 * w) / (p00 + p01 * w)
+        backward.append(ratio)
+    backward.reverse()
+    return forward, backward
+
+
+def chain_marginals(scores: list[float], pairs: list[float]) -> tuple[list[float], list[float], list[float]]:
+    """Forward ratios, backward ratios and marginals of state 1 from logs of the tokens' weights."""
+    forward, backward = chain_sums([weight_of(s) for s in scores], pairs)
     return forward, backward, [f * b / (1.0 + f * b) for f, b in zip(forward, backward)]
 
 
@@ -113,21 +125,24 @@ class Model:
     offset: float = 0.0
 
     def tagger(self):
-        """A function from a text to its tokens' ``(start, end)`` and marginals."""
-        weights, bits = self.weights, BITS
-        memo = Memo(lambda w: (sum(float(weights[_hash(f, bits)]) for f in word_features(w)), float(weights[_hash("<" + w.lower(), bits)]),
-                               float(weights[_hash(">" + w.lower(), bits)])))
-        bias = float(weights[_hash("bias", bits)])
-
-        def tag(text: str) -> tuple[list[tuple[int, int]], list[float]]:
-            places, words = [], []
-            for m in WORD.finditer(text):
-                places.append(m.span())
-                words.append(memo[m[0]])
-            last, scores = len(words) - 1, []
-            for i, (own, _, _) in enumerate(words):
-                scores.append(bias + own + (words[i - 1][1] if i else 0.0) + (words[i + 1][2] if i < last else 0.0))
-            return places, chain_marginals(scores, self.pairs)[2]
+        """A function from a text to its tokens' marginals."""
+        weights = self.weights
+        bias = float(weights[_hash("bias", BITS)])
+
+        def of_word(word):
+            low = word.lower()
+            return (weight_of(bias + sum(float(weights[_hash(f, BITS)]) for f in word_features(word))),
+                    weight_of(float(weights[_hash("<" + low, BITS)])), weight_of(float(weights[_hash(">" + low, BITS)])))
+
+        memo = Memo(of_word)
+
+        def tag(text: str) -> list[float]:
+            words = [memo[w] for w in WORD.findall(text)]
+            if not words:
+                return []
+            own, before, after = zip(*words)
+            forward, backward = chain_sums([o * b * a for o, b, a in zip(own, (1.0, *before), (*after[1:], 1.0))], self.pairs)
+            return [r / (1.0 + r) for r in [f * b for f, b in zip(forward, backward)]]
 
         return tag
 
@@ -237,7 +252,7 @@ def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("of")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     marks = docs.filter("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("mark")).join(known, F.col("doc_id") == F.col("of"))
     chosen = marks.groupBy("mark").agg(F.min("of").alias("of"), F.max("toxic").alias("toxic")).select("mark", "of", "toxic")
-    return docs.select("doc_id", "text").join(chosen, (F.col("doc_id") == F.col("of")) & (F.xxhash64("text") == F.col("mark"))).dropDuplicates(["mark"]).select("doc_id", "text", "toxic")
+    return docs.select("doc_id", "text").join(chosen, (F.col("doc_id") == F.col("of")) & (F.xxhash64("text") == F.col("mark"))).dropDuplicates(["doc_id", "mark"]).select("doc_id", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -260,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     weights, log_pairs = fit_chain([(words, states) for i, (_, _, words, states) in enumerate(chosen) if i % 3])
     model = Model(share, weights, np.exp(log_pairs).tolist())
     tag = model.tagger()
-    sums = np.array([evidence(tag(text)[1]) for text, *_ in kept_back])
+    sums = np.array([evidence(tag(text)) for text, *_ in kept_back])
     model.slope, model.offset = fit_score(sums, np.array([toxic for _, toxic, *_ in kept_back]), share)
     return model
 
@@ -282,10 +297,11 @@ def tag_toxicity(docs: DataFrame, model: Model, keep: list[str | Column] = ("doc
         for batch in batches:
             scores, runs = [], []
             for text in batch.column(len(names)).to_pylist():
-                places, marginals = tag(text or "") if tag else ([], [])
+                marginals = tag(text or "") if tag else []
                 scores.append(own.document_score(marginals) if tag else own.share)
                 if spans:
                     found, last = [], None
+                    places = [m.span() for m in WORD.finditer(text or "")] if any(m > SPAN for m in marginals) else []
                     for i, m in enumerate(marginals):
                         if m > SPAN:
                             if last == i - 1 and found:
