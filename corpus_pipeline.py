@@ -42,18 +42,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the one at the edge of a source's budget in part.
+    """Documents as often as the mix takes them, each whole: the one at the edge of a source's budget goes once more or not, whichever is nearer.
 
     Rows are numbered and stored first, so repeated rows are mixed each and meet only their own share.
     """
     rows = materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_id")), "pipeline-rows")
-    mixed = mixing.mix(rows, keep=("row_id",)).filter("copies > 0 OR cut_words > 0").select("row_id", "copies", "cut_words")
-    front = F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0)
-    words = F.slice(F.regexp_extract_all("text", F.lit(f"({mixing.WORD}[\\x20\\x09-\\x0D]*)")), F.lit(1), F.col("cut_words").cast("int"))
-    cut = F.when(F.col("part") < F.col("copies"), F.col("text")).otherwise(F.concat(front, F.array_join(words, "")))
-    parts = F.sequence(F.lit(0), (F.col("copies") + F.when(F.col("cut_words") > 0, 1).otherwise(0) - 1).cast("int"))
-    taken = rows.join(mixed, "row_id").withColumn("part", F.explode(parts)).withColumn("text", cut).withColumn("n_chars", F.length("text").cast("long"))
-    return taken.select(*COLUMNS)
+    times = F.col("copies") + (2 * F.col("cut_words") > F.col("size")).cast("int")
+    mixed = mixing.mix(rows, keep=("row_id",)).select("row_id", times.cast("int").alias("times")).filter("times > 0")
+    return rows.join(mixed, "row_id").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
