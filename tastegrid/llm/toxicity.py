@@ -49,7 +49,7 @@ MOST_WORDS = 1 << 18
 def word_features(word: str) -> list[str]:
     """What the word itself tells: its lower-cased form, its beginnings, its end."""
     low = word.lower()
-    return ["w" + low, *[f"{n}{low[:n]}" for n in range(2, 9) if len(low) > n], "e" + low[-3:]]
+    return ["w" + low, "e" + low[-3:], *[f"{n}{low[:n]}" for n in range(2, min(9, len(low)))]]
 
 
 def _hash(name: str, bits: int) -> int:
@@ -71,7 +71,8 @@ class Memo(dict):
 
 
 def counted_buckets(word: str) -> np.ndarray:
-    return np.array([_hash(f, COUNT_BITS) for f in word_features(word)], dtype=np.int64)
+    mask, of_name = (1 << COUNT_BITS) - 1, xxhash.xxh3_64_intdigest
+    return np.array([of_name(f) & mask for f in word_features(word)], dtype=np.int64)
 
 
 # --- the chain --------------------------------------------------------------------------------
@@ -126,13 +127,15 @@ class Model:
 
     def tagger(self):
         """A function from a text to its tokens' marginals."""
-        weights = self.weights
-        bias = float(weights[_hash("bias", BITS)])
+        weights, mask, of_name = self.weights.tolist(), (1 << BITS) - 1, xxhash.xxh3_64_intdigest
+        bias = weights[_hash("bias", BITS)]
 
         def of_word(word):
+            score = bias
+            for name in word_features(word):
+                score += weights[of_name(name) & mask]
             low = word.lower()
-            return (weight_of(bias + sum(float(weights[_hash(f, BITS)]) for f in word_features(word))),
-                    weight_of(float(weights[_hash("<" + low, BITS)])), weight_of(float(weights[_hash(">" + low, BITS)])))
+            return weight_of(score), weight_of(weights[of_name("<" + low) & mask]), weight_of(weights[of_name(">" + low) & mask])
 
         memo = Memo(of_word)
 
@@ -252,7 +255,7 @@ def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("of")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     marks = docs.filter("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("mark")).join(known, F.col("doc_id") == F.col("of"))
     chosen = marks.groupBy("mark").agg(F.min("of").alias("of"), F.max("toxic").alias("toxic")).select("mark", "of", "toxic")
-    return docs.select("doc_id", "text").join(chosen, (F.col("doc_id") == F.col("of")) & (F.xxhash64("text") == F.col("mark"))).dropDuplicates(["doc_id", "mark"]).select("doc_id", "text", "toxic")
+    return docs.select("doc_id", "text").join(chosen, (F.col("doc_id") == F.col("of")) & (F.xxhash64("text") == F.col("mark"))).dropDuplicates(["of", "mark"]).select("doc_id", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:

@@ -117,12 +117,12 @@ def test_row_products_equal_dense_ones():
         assert (np.array([[dict(zip(back.columns[s:e], back.values[s:e])).get(i, 0) for i in range(7)] for s, e in zip(back.start, back.start[1:])]) == x.T).all()
 
 
-def test_words_kept_are_those_of_whole_texts(tools):
+def test_ranks_and_merges_give_the_same_ids(tools):
     """Random texts of settled characters, with words, spaces and signs in any order."""
     r = random.Random(17)
     letters = [" ", " ", "  ", "\n", "\r\n", "\t", "a", "The", "token", "é", "ß", "Ø", "ŋ", "7", "12", "²", "½", "'s", "'ll", "'", "\"", ".", "!!", "…", "—", "<|endoftext|>", "<0x41>", "_", "ª", "\u00ad"]
     texts = ["".join(r.choice(letters) for _ in range(r.randint(1, 40))) for _ in range(3000)] + ["x" * 5000, " " * 300, "a  b   c    "]
-    assert all(align.SETTLED.fullmatch(t) for t in texts)
+    assert tools.ranks is not None and all(align.SETTLED.fullmatch(t) for t in texts)
     want = tools.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
     assert [a.tolist() for a in tools._encode_a(texts)] == [e.ids for e in want]
     odd = ["日本 x", "a\u00a0b", "a\x1cb", "🙂", "a\u0085b"]
