@@ -88,23 +88,6 @@ top AS (SELECT user_id, CAST(position AS INTEGER) AS position, artist_id, pts /
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pts DESC, artist_id) AS position FROM unseen)
         WHERE position <= 10)"""
 
-_NEAR = f"""{_SPLIT},
-pts AS (SELECT user_id, artist_id, CAST(round_even(rating * 10000, 0) AS BIGINT) AS p FROM train),
-norms AS (SELECT user_id, sqrt(sum(p * p)::DOUBLE) AS norm FROM pts GROUP BY 1),
-signs AS (SELECT artist_id, seed, 1 - 2 * (('0x' || left(md5('sign|' || seed || '|' || artist_id), 1))::INT % 2) AS sign
-          FROM (SELECT DISTINCT artist_id FROM train), range(1, 9) s(seed)),
-sums AS (SELECT seed, user_id, sum(p * sign) AS s FROM pts JOIN signs USING (artist_id) GROUP BY 1, 2),
-places AS (SELECT seed, user_id, row_number() OVER (PARTITION BY seed ORDER BY s, user_id) AS place FROM sums),
-shifted AS (SELECT seed, user_id, place + shift AS place FROM places, range(-10, 11) r(shift) WHERE shift <> 0),
-candidates AS (SELECT DISTINCT a.user_id, b.user_id AS neighbour_id FROM shifted a JOIN places b USING (seed, place)),
-dots AS (SELECT c.user_id, c.neighbour_id, sum(a.p * b.p)::DOUBLE AS dot FROM candidates c JOIN pts a ON a.user_id = c.user_id
-         JOIN pts b ON b.user_id = c.neighbour_id AND b.artist_id = a.artist_id GROUP BY 1, 2),
-sims AS (SELECT d.user_id, neighbour_id, dot / (nb.norm * na.norm) AS similarity
-            FROM dots d JOIN norms na ON na.user_id = d.user_id JOIN norms nb ON nb.user_id = neighbour_id),
-near AS (SELECT user_id, CAST(position AS INTEGER) AS position, neighbour_id, similarity
-         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity DESC, neighbour_id) AS position FROM sims)
-         WHERE position <= 20)"""
-
 _NEAR_EXACT = f"""{_SPLIT},
 pts AS (SELECT user_id, artist_id, CAST(round_even(rating * 10000, 0) AS BIGINT) AS p FROM train),
 norms AS (SELECT user_id, sqrt(sum(p * p)::DOUBLE) AS norm FROM pts GROUP BY 1),
@@ -351,13 +334,6 @@ docs AS (SELECT artist_id, string_agg(tag_name, ' ') AS doc FROM tagged GROUP BY
 {_tfidf('artist_id', 'docs', '(SELECT count(*) FROM part)')}
 SELECT p_partkey AS artist_id, {_NATION_WIDE}, CASE WHEN any_value(vec_id) IS NULL THEN 0 ELSE 1 END::DOUBLE AS has_audio, {_VECTOR_WIDE}
 FROM part LEFT JOIN weights ON artist_id = p_partkey LEFT JOIN embeddings ON vec_id = p_partkey GROUP BY 1""",
-    "knn_user_cosine": f"WITH {_NEAR} SELECT user_id, position, neighbour_id, round(similarity, 6) AS similarity FROM near",
-    "knn_predictions": f"""WITH {_NEAR},
-weighted AS (SELECT n.user_id, t.artist_id, sum(similarity * rating) / sum(similarity) AS w
-             FROM near n JOIN train t ON t.user_id = n.neighbour_id GROUP BY 1, 2),
-own AS (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1)
-SELECT t.user_id, t.artist_id, t.rating, round(coalesce(w, m), 6) AS prediction
-FROM test t LEFT JOIN own USING (user_id) LEFT JOIN weighted USING (user_id, artist_id)""",
     "knn_user_exact": f"WITH {_NEAR_EXACT} SELECT user_id, position, neighbour_id, round(similarity, 6) AS similarity FROM near",
     "knn_predictions_exact": f"""WITH {_NEAR_EXACT},
 weighted AS (SELECT n.user_id, t.artist_id, sum(similarity * rating) / sum(similarity) AS w
@@ -366,3 +342,16 @@ own AS (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1)
 SELECT t.user_id, t.artist_id, t.rating, round(coalesce(w, m), 6) AS prediction
 FROM test t LEFT JOIN own USING (user_id) LEFT JOIN weighted USING (user_id, artist_id)""",
 }
+
+ORACLES["metrics_knn"] = f"SELECT 'knn' AS model, {_ERRORS} FROM ({ORACLES['knn_predictions_exact']})"
+
+_HALF_STEP = f"""{_SPLIT},
+start AS (SELECT DISTINCT artist_id, ('0x' || left(md5('42:1:' || artist_id), 8))::BIGINT / 4294967296::DOUBLE - 0.5::DOUBLE AS f FROM train),
+sums AS (SELECT user_id, count(*) * 1.1::DOUBLE AS a, sum(f) AS b, sum(f * f) + count(*) * 0.1::DOUBLE AS c, sum(rating - m) AS y, sum(f * (rating - m)) AS z
+         FROM train JOIN start USING (artist_id) CROSS JOIN (SELECT avg(rating) AS m FROM train) GROUP BY 1),
+solved AS (SELECT user_id, (c * y - b * z) / (a * c - b * b) AS bias, (a * z - b * y) / (a * c - b * b) AS factor FROM sums)"""
+ORACLES["ridge_half_step"] = f"WITH {_HALF_STEP} SELECT user_id, round(bias, 6) AS bias, round(factor, 6) AS factor FROM solved"
+ORACLES["recommend_half_step"] = f"""WITH {_HALF_STEP},
+lists AS (SELECT user_id, artist_id, factor * f AS score, row_number() OVER (PARTITION BY user_id ORDER BY factor * f DESC, artist_id) AS position
+          FROM solved CROSS JOIN start WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = solved.user_id AND t.artist_id = start.artist_id))
+SELECT user_id, CAST(position AS INTEGER) AS position, artist_id, round(score, 6) AS score FROM lists WHERE position <= 10"""

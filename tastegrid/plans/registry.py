@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text
 from ..functions.numbers import coerce_id
-from ..operators import baselines, catalog, evaluate, extract, factorize, frames, neighbours, quality, recommend, resume, rollup, split, tags, tfidf
+from ..operators import baselines, catalog, evaluate, extract, factorize, frames, inner_products, neighbours, quality, recommend, resume, ridge_factors, rollup, split, tags, tfidf
 from ..operators.ratings import rate_interactions
 from ..session import materialize, scratch_path
 from ..sources import delimited, payloads
@@ -462,32 +462,63 @@ def ablation_table(spark, d):
     return evaluate.ablation_table(joined, [*baselines.MODELS, "mf", *factorize.HYBRIDS])
 
 
-def _neighbours(spark, d):
+@query
+def knn_user_exact(spark, d):
+    """The 20 nearest users of every user, compared with all that share an artist with it."""
+    return neighbours.nearest_users_exact(_sides(spark, d)[0]).withColumn("similarity", F.round("similarity", 6))
+
+
+@query
+def knn_predictions_exact(spark, d):
+    """All test rows, predicted from their users' exact neighbours."""
     train, test = _sides(spark, d)
-    return train, test, neighbours.nearest_users(train, neighbours.candidate_pairs(train))
+    return neighbours.predict_from_neighbours(train, neighbours.nearest_users_exact(train), test).withColumn("prediction", F.round("prediction", 6))
 
 
 @query
-def knn_user_cosine(spark, d):
-    """The 20 most similar of the users that lie near each user in some projection; ``knn_user_exact`` has the true 20 nearest."""
-    return _neighbours(spark, d)[2].withColumn("similarity", F.round("similarity", 6))
+def metrics_knn(spark, d):
+    """Errors of the neighbour predictions, as of the means in ``metrics_rating``."""
+    return evaluate.error_metrics(knn_predictions_exact(spark, d).withColumn("model", F.lit("knn")), ["model"])
+
+
+def _half_step(spark, d):
+    """Train rows, first item weights, and users' weights after one half step of rank 1."""
+    train = _sides(spark, d)[0]
+    items = ridge_factors.first_weights(train.select("artist_id").distinct(), 1)
+    mean = train.agg(F.avg("rating")).first()[0]
+    users = ridge_factors.half_step(train.select("user_id", "artist_id", "rating"), items, "artist_id", "user_id", F.lit(mean), 1, ridge_factors.PENALTY)
+    return train, items, materialize(users, "half-step")
 
 
 @query
-def knn_predictions(spark, d):
-    """All test rows, predicted from their users' neighbours among those candidates."""
-    train, test, near = _neighbours(spark, d)
-    return neighbours.predict_from_neighbours(train, materialize(near, "neighbours"), test).withColumn("prediction", F.round("prediction", 6))
+def ridge_half_step(spark, d):
+    return _half_step(spark, d)[2].select("user_id", F.round(F.col("weights")[0], 6).alias("bias"), F.round(F.col("weights")[1], 6).alias("factor"))
 
 
 @query
-def knn_user_exact(spark, d):
-    """The 20 nearest users of every user, compared with all that share an artist with it."""
-    return neighbours.nearest_users_exact(_sides(spark, d)[0]).withColumn("similarity", F.round("similarity", 6))
+def recommend_half_step(spark, d):
+    """Lists by inner product from weights that SQL can give, too."""
+    train, items, users = _half_step(spark, d)
+    return inner_products.top_by_inner_product(users, items, train).withColumn("score", F.round("score", 6))
 
 
 @query
-def knn_predictions_exact(spark, d):
-    """All test rows, predicted from their users' exact neighbours."""
+def mf_predictions(spark, d):
     train, test = _sides(spark, d)
-    return neighbours.predict_from_neighbours(train, neighbours.nearest_users_exact(train), test).withColumn("prediction", F.round("prediction", 6))
+    return ridge_factors.predict_ridge_factors(ridge_factors.fit_ridge_factors(train), test, "prediction")
+
+
+@query
+def recommend_mf(spark, d):
+    """The ten best unseen items of every user by the fitted factors."""
+    train = _sides(spark, d)[0]
+    model = ridge_factors.fit_ridge_factors(train)
+    return inner_products.top_by_inner_product(model.users, model.items, train)
+
+
+@query
+def metrics_ranking_mf(spark, d):
+    """Ranking figures of those lists, as of the item means in ``metrics_ranking``."""
+    train, test = _sides(spark, d)
+    model = ridge_factors.fit_ridge_factors(train)
+    return evaluate.ranking_metrics(inner_products.top_by_inner_product(model.users, model.items, train), test)
