@@ -149,6 +149,12 @@ class Model:
 
         return tag
 
+    def kept_tagger(self):
+        """The same function for all tasks of a worker, so words met before stay known."""
+        if not hasattr(self, "_kept"):
+            self._kept = self.tagger()
+        return self._kept
+
     def document_score(self, marginals: list[float]) -> float:
         return 1.0 / (1.0 + math.exp(-min(max(self.slope * math.log(evidence(marginals) + 1e-3) + self.offset, -40.0), 40.0)))
 
@@ -296,7 +302,7 @@ def tag_toxicity(docs: DataFrame, model: Model, keep: list[str | Column] = ("doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        tag = own.tagger() if own.weights is not None else None
+        tag = own.kept_tagger() if own.weights is not None else None
         for batch in batches:
             scores, runs = [], []
             for text in batch.column(len(names)).to_pylist():
