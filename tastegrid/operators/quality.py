@@ -80,12 +80,18 @@ def check_ratings(df: DataFrame, catalog: DataFrame | None) -> list[DataFrame]:
         parent = id_column(catalog) if catalog is not None else None
         out.append(_row_rules(orphan_keys(df, key, catalog, parent), "ratings",
                               [("V08", "ids join to catalog", F.count(F.lit(1)))]))
+    return out + [_row_rules(df, "ratings", [rule]) for rule in rating_rules(df)]
+
+
+def rating_rules(df: DataFrame) -> list[tuple[str, str, Column]]:
+    """The rules that look at one rating row at a time, as far as the table has their columns."""
+    rules = []
     if "rating" in df.columns:
         outside = ~F.coalesce(F.col("rating").between(C.RATING_MIN, C.RATING_MAX), F.lit(False))
-        out.append(_row_rules(df, "ratings", [("V33", "rating in [1, 5]", F.count_if(outside))]))
+        rules.append(("V33", "rating in [1, 5]", F.count_if(outside)))
     if "artist" in df.columns:
-        out.append(_row_rules(df, "ratings", [("V34", "artist text is normalised", F.count_if(~is_normalised(F.col("artist"))))]))
-    return out
+        rules.append(("V34", "artist text is normalised", F.count_if(~is_normalised(F.col("artist")))))
+    return rules
 
 
 def is_normalised(text: Column) -> Column:
