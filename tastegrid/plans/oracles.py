@@ -355,3 +355,26 @@ ORACLES["recommend_half_step"] = f"""WITH {_HALF_STEP},
 lists AS (SELECT user_id, artist_id, factor * f AS score, row_number() OVER (PARTITION BY user_id ORDER BY factor * f DESC, artist_id) AS position
           FROM solved CROSS JOIN start WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = solved.user_id AND t.artist_id = start.artist_id))
 SELECT user_id, CAST(position AS INTEGER) AS position, artist_id, round(score, 6) AS score FROM lists WHERE position <= 10"""
+
+ORACLES["tfidf_vocab_sketched"] = ORACLES["tfidf_vocab"]
+ORACLES["tfidf_documents_vocab_sketched"] = ORACLES["tfidf_documents_vocab"]
+ORACLES["audited_writes"] = f"""{_REPORT} SELECT rule_id, table_name, rule, passed, detail, true AS published FROM report WHERE rule_id IN ('V33', 'V34')
+UNION ALL SELECT 'V33', 'plays', 'rating in [1, 5]', n = 0, n, n = 0 FROM (SELECT count(*) FILTER (weight < 1 OR weight > 5 OR weight IS NULL) AS n FROM plays)"""
+ORACLES["sketch_checks"] = f"""WITH {_RATINGS}
+SELECT unnest(['n_rows', 'users', 'items', 'rating_p25', 'rating_median', 'rating_p75']) AS measure,
+       unnest([count(*)::DOUBLE, count(DISTINCT user_id)::DOUBLE, count(DISTINCT artist_id)::DOUBLE, round(quantile_cont(rating, 0.25), 6),
+               round(quantile_cont(rating, 0.5), 6), round(quantile_cont(rating, 0.75), 6)]) AS exact, true AS within_bound FROM ratings"""
+ORACLES["ablation_means"] = f"SELECT * FROM ({ORACLES['metrics_rating']}) LEFT JOIN ({ORACLES['metrics_rerank']}) USING (model)"
+ORACLES["model_checks"] = f"""WITH {_SPLIT}
+SELECT unnest(['mf', 'mf_tags', 'mf_audio', 'mf_tags_audio']) AS model, count(*) AS n_rows, 0::BIGINT AS off_scale, true AS beats_mean FROM train"""
+ORACLES["feature_step"] = f"""WITH {_SPLIT},
+start AS (SELECT DISTINCT user_id, ('0x' || left(md5('42:1:' || user_id), 8))::BIGINT / 4294967296::DOUBLE - 0.5::DOUBLE AS f FROM train),
+sums AS (SELECT artist_id, count(*) AS n, count(*) * 1.1::DOUBLE AS a, sum(f) AS b, sum(f * f) + count(*) * 0.1::DOUBLE AS c, sum(rating - m) AS y, sum(f * (rating - m)) AS z
+         FROM train JOIN start USING (user_id) CROSS JOIN (SELECT avg(rating) AS m FROM train) GROUP BY 1),
+solved AS (SELECT artist_id, n, (c * y - b * z) / (a * c - b * b) AS bias, (a * z - b * y) / (a * c - b * b) AS factor FROM sums),
+described AS (SELECT p_partkey AS artist_id, p_size / 50::DOUBLE AS s, CASE WHEN p_partkey IN (SELECT vec_id FROM embeddings) THEN 1 ELSE 0 END::DOUBLE AS h FROM part),
+products AS (SELECT 1 + sum(n * s * s) AS ss, sum(n * s * h) AS sh, 1 + sum(n * h * h) AS hh, sum(n * s * bias) AS sb, sum(n * h * bias) AS hb,
+                    sum(n * s * factor) AS sf, sum(n * h * factor) AS hf FROM described JOIN solved USING (artist_id)),
+told AS (SELECT (hh * sb - sh * hb) / (ss * hh - sh * sh) AS s_bias, (ss * hb - sh * sb) / (ss * hh - sh * sh) AS h_bias,
+                (hh * sf - sh * hf) / (ss * hh - sh * sh) AS s_factor, (ss * hf - sh * sf) / (ss * hh - sh * sh) AS h_factor FROM products)
+SELECT artist_id, round(s * s_bias + h * h_bias, 6) AS bias, round(s * s_factor + h * h_factor, 6) AS factor FROM described CROSS JOIN told"""

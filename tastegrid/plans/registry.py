@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text
 from ..functions.numbers import coerce_id
-from ..operators import baselines, catalog, evaluate, extract, factorize, frames, inner_products, neighbours, quality, recommend, resume, ridge_factors, rollup, split, tags, tfidf
+from ..operators import audited, baselines, catalog, evaluate, extract, factorize, feature_factors, frames, inner_products, neighbours, quality, recommend, resume, ridge_factors, rollup, sketches, split, tags, tfidf
 from ..operators.ratings import rate_interactions
 from ..session import materialize, scratch_path
 from ..sources import delimited, payloads
@@ -207,9 +208,12 @@ def _fallback(spark, d):
     return payloads.fallback_tags(s.customer_payloads(spark, d))
 
 
+def _tag_terms(spark, d):
+    return tags.tag_terms(tags.tag_documents(s.tag_artists(spark, d), materialize(_tag_counts(spark, d), "tag-counts"), _fallback(spark, d)))
+
+
 def _tag_frequencies(spark, d):
-    documents = tags.tag_documents(s.tag_artists(spark, d), materialize(_tag_counts(spark, d), "tag-counts"), _fallback(spark, d))
-    return materialize(tfidf.term_frequencies(tags.tag_terms(documents)), "tag-terms")
+    return materialize(tfidf.term_frequencies(_tag_terms(spark, d)), "tag-terms")
 
 
 @query
@@ -237,6 +241,17 @@ def tfidf_vocab(spark, d):
     return tfidf.vocabulary(_tag_frequencies(spark, d))
 
 
+@query
+def tfidf_vocab_sketched(spark, d):
+    """The vocabulary by way of a frequent-items sketch."""
+    return tfidf.frequent_vocabulary(materialize(_tag_terms(spark, d), "terms"))
+
+
+@query
+def tfidf_documents_vocab_sketched(spark, d):
+    return tfidf.frequent_vocabulary(materialize(_document_terms(spark, d)[1], "terms"), "doc_id")
+
+
 @query
 def tfidf_long(spark, d):
     tf = _tag_frequencies(spark, d)
@@ -256,9 +271,14 @@ def tfidf_wide(spark, d):
     return wide.select("artist_id", "tags_raw", *[F.round(c, 6).alias(c) for c in wide.columns if c.startswith("tfidf_")])
 
 
-def _document_frequencies(spark, d):
+def _document_terms(spark, d):
     documents = s.table(spark, d, "documents").select("doc_id", text.normalize_tag(F.col("text")).alias("tag_name"))
-    return documents, tfidf.term_frequencies(tags.tag_terms(documents, key="doc_id"), key="doc_id")
+    return documents, tags.tag_terms(documents, key="doc_id")
+
+
+def _document_frequencies(spark, d):
+    documents, terms = _document_terms(spark, d)
+    return documents, tfidf.term_frequencies(terms, key="doc_id")
 
 
 @query
@@ -358,6 +378,32 @@ def dq_summary(spark, d):
     return quality.report_summary(dq_report(spark, d))
 
 
+@query
+def audited_writes(spark, d):
+    """Rules counted while tables are written: ratings are published, play counts passed off as ratings are refused."""
+    rated = _ratings(spark, d)
+    plays = s.interactions(spark, d).withColumnRenamed("weight", "rating")
+    return audited.write_audited(rated, scratch_path(spark, "ratings"), "ratings", quality.rating_rules(rated)).unionByName(
+        audited.write_audited(plays, scratch_path(spark, "plays"), "plays", quality.rating_rules(plays)))
+
+
+def _sketch_checks(spark, d):
+    stored = materialize(_ratings(spark, d), "ratings")
+    parts = materialize(sketches.part_sketches(stored, F.pmod(F.xxhash64("user_id"), F.lit(64))), "sketches")
+    return sketches.figure_checks(stored, sketches.merged_figures(parts))
+
+
+@query
+def sketch_figures(spark, d):
+    """Figures merged from the stored sketches of 64 parts, beside the exact ones."""
+    return _sketch_checks(spark, d)
+
+
+@query
+def sketch_checks(spark, d):
+    return _sketch_checks(spark, d).select("measure", F.round("exact", 6).alias("exact"), "within_bound")
+
+
 # --- models and evaluation ----------------------------------------------------------------------
 
 def _mean_predictions(spark, d):
@@ -442,24 +488,110 @@ def als_predictions(spark, d):
     return out.withColumnRenamed("mf", "prediction")
 
 
-def _hybrids(spark, d):
+def _models(spark, d):
+    """Train, test and the fitted models ``mf``, ``mf_tags``, ``mf_audio``, ``mf_tags_audio``."""
     train, test = _sides(spark, d)
     features = materialize(_item_features(spark, d), "item-features")
-    return train, test, factorize.hybrid_predictions(factorize.fit_factors(train), train, test, features)
+    return train, test, feature_factors.fit_hybrids(train, features)
 
 
 @query
 def hybrid_predictions(spark, d):
-    return _hybrids(spark, d)[2]
+    """All models side by side, one join a model: (user_id, artist_id) is unique in the test rows."""
+    _, test, models = _models(spark, d)
+    out = test.select("user_id", "artist_id", "rating")
+    for name, model in models.items():
+        out = out.join(ridge_factors.predict_ridge_factors(model, test, name).drop("rating"), ["user_id", "artist_id"])
+    return out
+
+
+def _predictions(models, rows):
+    """``(model, user_id, artist_id, rating, prediction)`` of fitted models, one below the other."""
+    parts = [ridge_factors.predict_ridge_factors(m, rows, "prediction").withColumn("model", F.lit(name)) for name, m in models.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _every_prediction(spark, d):
+    """Means, neighbours, factors and machines on the same test rows, stored."""
+    train, test, models = _models(spark, d)
+    means = evaluate.long_predictions(baselines.predict_means(train, test), baselines.MODELS)
+    near = neighbours.predict_from_neighbours(train, neighbours.nearest_users_exact(train), test).withColumn("model", F.lit("knn"))
+    columns = ["model", "user_id", "artist_id", "rating", "prediction"]
+    every = [means.select(columns), near.select(columns), _predictions(models, test).select(columns)]
+    return train, materialize(reduce(DataFrame.unionByName, every), "predictions")
+
+
+@query
+def metrics_rating_models(spark, d):
+    """Errors of every model, as of the means in ``metrics_rating``."""
+    return evaluate.error_metrics(_every_prediction(spark, d)[1], ["model"])
+
+
+@query
+def cold_start_models(spark, d):
+    """Errors of every model by the bands of ``cold_start_segments``."""
+    train, every = _every_prediction(spark, d)
+    return evaluate.error_metrics(evaluate.with_band(every, train), ["segment", "model"])
+
+
+@query
+def metrics_ranking_models(spark, d):
+    """Ranking figures of ten unseen items per user, chosen from all items by each model."""
+    train, test, models = _models(spark, d)
+    lists = {"item_mean": recommend.top_unseen(train), **{n: inner_products.top_by_inner_product(m.users, m.items, train) for n, m in models.items()}}
+    return reduce(DataFrame.unionByName, [evaluate.ranking_metrics(x, test).withColumn("model", F.lit(n)) for n, x in lists.items()])
+
+
+@query
+def recommend_hybrid(spark, d):
+    """The ten best unseen items of every user by the machine with tags and sound; items nobody rated are candidates, too."""
+    train, _ = _sides(spark, d)
+    features = materialize(_item_features(spark, d), "item-features")
+    model = feature_factors.fit_feature_factors(train, features, factorize.feature_columns(features, ("tags", "audio")))
+    return inner_products.top_by_inner_product(model.users, model.items, train)
+
+
+@query
+def model_checks(spark, d):
+    """Per fitted model: train rows, predictions off the scale, and whether it is nearer to the train rows than the global mean."""
+    train, _, models = _models(spark, d)
+    fitted = materialize(_predictions(models, train), "fitted")
+    mean = train.agg(F.avg("rating")).scalar()
+    error, plain = F.col("rating") - F.col("prediction"), F.col("rating") - F.col("mean")
+    return fitted.withColumn("mean", mean).groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.coalesce(F.col("prediction").between(1, 5), F.lit(False))).alias("off_scale"),
+        (F.sum(error * error) < F.sum(plain * plain)).alias("beats_mean"))
+
+
+@query
+def feature_step(spark, d):
+    """One item half step and one feature step of rank 1 on two features (size, has a vector): what the features say of each part."""
+    train = _sides(spark, d)[0].select("user_id", "artist_id", "rating")
+    users = ridge_factors.first_weights(train.select(F.col("user_id").alias("artist_id")).distinct(), 1).withColumnRenamed("artist_id", "user_id")
+    mean = train.agg(F.avg("rating")).first()[0]
+    items = materialize(ridge_factors.half_step(train, users, "user_id", "artist_id", F.lit(mean), 1, ridge_factors.PENALTY), "half-step")
+    found = s.table(spark, d, "embeddings").select(F.col("vec_id").alias("artist_id"), F.lit(1.0).alias("has_audio"))
+    features = s.table(spark, d, "part").select(F.col("p_partkey").alias("artist_id"), (F.col("p_size") / 50).alias("size")).join(found, "artist_id", "left")
+    counts = train.groupBy("artist_id").agg(F.count(F.lit(1)).alias("n"))
+    described = materialize(feature_factors.sparse_features(features, ["size", "has_audio"], scaled=False).join(counts, "artist_id", "left").fillna(0, ["n"]), "described-items")
+    told = feature_factors.told_by_features(described, feature_factors.feature_step(items, described, 2, 1, feature_factors.FEATURE_PENALTY))
+    return told.select("artist_id", F.round(F.col("weights")[0], 6).alias("bias"), F.round(F.col("weights")[1], 6).alias("factor"))
+
+
+def _ablation(predictions):
+    return evaluate.error_metrics(predictions, ["model"]).join(evaluate.rerank_metrics(predictions), "model", "left")
 
 
 @query
 def ablation_table(spark, d):
     """All models on the same test rows."""
-    train, test, hybrids = _hybrids(spark, d)
-    means = baselines.predict_means(train, test).drop("rating")
-    joined = materialize(hybrids.join(means, ["user_id", "artist_id"]), "predictions")
-    return evaluate.ablation_table(joined, [*baselines.MODELS, "mf", *factorize.HYBRIDS])
+    return _ablation(_every_prediction(spark, d)[1])
+
+
+@query
+def ablation_means(spark, d):
+    """The same table for the means alone."""
+    return evaluate.ablation_table(materialize(_mean_predictions(spark, d)[1], "predictions"), baselines.MODELS)
 
 
 @query

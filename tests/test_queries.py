@@ -10,6 +10,8 @@ FOLDER = "/root/testdata/sf0.001"
 # Their column set follows the data: compared at the scale the SQL names.
 BY_SCALE = {"tfidf_wide": "/root/testdata/sf0.01", "item_features": "/root/testdata/sf0.01"}
 
+SCORED = ("file_feature_map", "recommend_half_step", "recommend_mf", "recommend_hybrid", "metrics_ranking_mf", "metrics_ranking_models", "feature_step")
+
 
 @pytest.fixture(scope="module")
 def results(spark):
@@ -38,7 +40,7 @@ def test_plan(results, name):
     """No product of tables; Python only where a caller's extractor runs or blocks of items are scored."""
     plan = plan_of(results(name))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    if name not in ("file_feature_map", "recommend_half_step", "recommend_mf", "metrics_ranking_mf"):
+    if name not in SCORED:
         assert "Python" not in plan and "MapInPandas" not in plan
 
 
