@@ -1,8 +1,12 @@
 """Language, page text, winnowing, WARC: plain versions, held-out accuracy, round trips, odd input."""
 
+import base64
+import gzip
 import hashlib
 import html
+import json
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -213,7 +217,7 @@ def test_warc_links_digests_and_text(spark):
     rows = warc.derive(warc.response_records(pages)).collect()
     assert len(rows) == 6
     for r in rows:
-        headers, _ = warc.parse_record(responses[r.page_id])
+        headers = dict(warc.parse_record(responses[r.page_id].encode())[0])
         assert r.refers_to == headers["WARC-Record-ID"] and r.payload_digest == headers["WARC-Payload-Digest"] and r.target_uri == headers["WARC-Target-URI"]
         assert r.block_digest == warc.digest(r.block.encode()) and r.content_length == len(r.block.encode())
     by = {(r.page_id, r.warc_type): r.block for r in rows}
@@ -221,3 +225,89 @@ def test_warc_links_digests_and_text(spark):
     broken = warc.derive(spark.createDataFrame([(7, "junk"), (8, None)], "page_id long, record string")).collect()
     assert [r.warc_type for r in broken] == ["metadata", "metadata"] and "error" in broken[0].block
     assert warc.derive(warc.response_records(pages.limit(0))).count() == 0
+
+
+def by_hand(block, *headers, kind="response", length=None):
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", *headers, f"Content-Length: {len(block) if length is None else length}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
+
+
+HAND = (b"HTTP/1.1 301 Moved\r\nset-cookie: a=1\r\nX-Long: one\r\n two\r\nSet-Cookie: b=2\r\ncontent-type: text/html; charset=ISO-8859-1\r\n\r\n"
+        b"<title>caf\xe9</title><p>a <a href=x>b</a>")
+HAND_HEADERS = (
+    "warc-record-id: <urn:x:1>", "WARC-Target-URI: http://a/?b:c", "WARC-Date: 2024-01-02T03:04:05Z", "WARC-IP-Address: 1.2.3.4", "WARC-Truncated: length",
+    "WARC-Concurrent-To: <urn:x:2>", "WARC-Concurrent-To: <urn:x:3>", "WARC-Identified-Payload-Type: text/html", "warc-payload-digest: sha1:" + "A" * 32, "Content-Type: application/http")
+
+
+def test_warc_keeps_source_headers_repeated_ones_and_digests():
+    block_digest = "WARC-Block-Digest: sha1:" + base64.b32encode(hashlib.sha1(HAND).digest()).decode()
+    (head, block), (text_head, text) = warc.derivatives(by_hand(HAND, *HAND_HEADERS, block_digest))
+    got = json.loads(block)
+    wanted = [tuple(x.split(": ", 1)) for x in ("WARC-Type: response", *HAND_HEADERS, block_digest, f"Content-Length: {len(HAND)}")]
+    assert [tuple(x) for x in got["warc-headers"]] == wanted
+    assert got["http-headers"] == [["set-cookie", "a=1"], ["X-Long", "one two"], ["Set-Cookie", "b=2"], ["content-type", "text/html; charset=ISO-8859-1"]]
+    assert got["http-status"] == "HTTP/1.1 301 Moved" and got["faults"] == [] and got["outlinks"] == ["x"]
+    assert got["block-digest-holds"] is True and got["payload-digest-holds"] is False and got["title"] == "café"
+    for headers in (head, text_head):
+        assert ("WARC-Refers-To", "<urn:x:1>") in headers and ("WARC-Concurrent-To", "<urn:x:3>") in headers and len(headers) == 14
+        assert [v for k, v in headers if k.lower() == "warc-payload-digest"] == ["sha1:" + "A" * 32]
+    assert text == "café\na b"
+
+
+def test_warc_codings_and_types():
+    page = "<p>" + "größe " * 50 + "</p>"
+    text = warc.plain_text(page)
+
+    def made(body, *headers):
+        records = warc.derivatives(by_hand("\r\n".join(["HTTP/1.1 200 OK", *headers]).encode() + b"\r\n\r\n" + body, "WARC-Record-ID: <urn:x:1>"))
+        return json.loads(records[0][1])["faults"], records[1][1] if len(records) > 1 else None
+
+    data = page.encode()
+    chunks = b"".join(b"%x;q=1\r\n%s\r\n" % (len(data[i:i + 7]), data[i:i + 7]) for i in range(0, len(data), 7))
+    assert made(chunks + b"0\r\n\r\n", "transfer-encoding: Chunked") == ([], text)
+    assert made(chunks, "Transfer-Encoding: chunked") == (["transfer-encoding"], text)
+    assert made(gzip.compress(data), "content-encoding: gzip") == ([], text)
+    assert made(zlib.compress(data), "Content-Encoding: deflate") == ([], text)
+    assert made(zlib.compress(data)[2:-4], "Content-Encoding: deflate") == ([], text)
+    assert made(gzip.compress(data)[:-8], "Content-Encoding: gzip") == (["content-encoding"], text)
+    assert made(data, "Content-Encoding: br") == (["content-encoding"], None)
+    assert made(b"\xff\xfe" + page.encode("utf-16-le")) == ([], text)
+    assert made(b'<meta charset="latin-1"><p>\xe9') == ([], "é") and made(b"<p>\xe9\xe9") == ([], "\ufffd\ufffd") and made(b"<p>x", "Content-Type: text/html; charset=rot13") == ([], "x")
+    assert made(b"1 < 2 <b>", "Content-Type: text/plain") == ([], "1 < 2 <b>") and made(b"\x89PNG", "Content-Type: image/png") == ([], None)
+    assert warc.derivatives(by_hand(b"a: b", kind="warcinfo")) == [] and warc.derivatives(by_hand(b"<p>r", "Content-Type: text/html", kind="resource"))[1][1] == "r"
+    assert json.loads(warc.derivatives(by_hand(HAND, length=7))[0][1])["faults"] == ["content-length"]
+    long = "<p>" + "word " * 400_000
+    assert made(long.encode())[1] == ("word " * 400_000).strip()
+
+
+@pytest.mark.parametrize("algorithm, bits", [("sha1", base64.b32encode), ("sha256", bytes.hex), ("md5", bytes.hex)])
+def test_warc_digests_of_several_algorithms(algorithm, bits):
+    value = bits(hashlib.new(algorithm, b"x").digest())
+    value = value.decode().rstrip("=") if isinstance(value, bytes) else value
+    assert warc.holds(f"{algorithm}:{value}", b"x") is True and warc.holds(f"{algorithm}:{value}", b"y") is False
+    assert warc.holds(None, b"x") is None and warc.holds("crc:1", b"x") is None and warc.holds(f"{algorithm}:!", b"x") is False
+
+
+def test_warc_malformed_files_give_error_rows(spark, tmp_path):
+    good, end = by_hand(HAND, *HAND_HEADERS), b"\r\n\r\n"
+    files = {
+        "a.warc": good + end + good + end, "b.warc": good + end + good[:-9], "c.warc": b"WARC/1.0\r\nno colon here\r\n\r\nblock" + end + good + end,
+        "d.warc": by_hand(HAND, length="x") + end + good, "e.warc": by_hand(HAND, length=3) + end + good + end, "f.warc": b"", "g.warc": b"junk",
+        "h.warc.gz": gzip.compress(good + end) + gzip.compress(good + end), "i.warc.gz": (gzip.compress(good + end) + gzip.compress(good + end))[:-20]}
+    (tmp_path / "in").mkdir()
+    for name, data in files.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    got = {}
+    for r in warc.raw_records(spark, str(tmp_path / "in")).collect():
+        got.setdefault(r.file.rsplit("/", 1)[1], []).append((r.offset, r.error))
+        assert r.error or bytes(r.record) == good
+    step = len(good) + 4
+    assert got == {
+        "a.warc": [(0, None), (step, None)], "b.warc": [(0, None), (step, "cut off")], "c.warc": [(0, "no WARC header"), (len(files["c.warc"]) - step, None)],
+        "d.warc": [(0, "wrong length"), (len(files["d.warc"]) - len(good), None)], "e.warc": [(0, "wrong length"), (len(files["e.warc"]) - step, None)],
+        "g.warc": [(0, "no WARC header")], "h.warc.gz": [(0, None), (step, None)], "i.warc.gz": got["i.warc.gz"]}
+    assert got["i.warc.gz"][0] == (0, None) and all(error for _, error in got["i.warc.gz"][1:]) and len(got["i.warc.gz"]) > 1
+    rows = warc.read_warc(spark, str(tmp_path / "in")).collect()
+    assert sum(r.error is None for r in rows) == 9 and all(r.record_id == "<urn:x:1>" and r.content_length == len(HAND) for r in rows if r.error is None)
+    records = warc.raw_records(spark, str(tmp_path / "in")).filter("error IS NULL").withColumn("page_id", F.col("offset"))
+    assert {r.block for r in warc.derive(records).filter("warc_type = 'conversion'").collect()} == {"café\na b"}
