@@ -109,7 +109,8 @@ def communication_matrix(counts: DataFrame, chunks: int, sizes: list[int], seed:
 def shuffle_into_shards(docs: DataFrame, shards: int = 16, rows_per_chunk: int = ROWS_PER_CHUNK, seed: int = 7) -> DataFrame:
     """``(doc_id, size, text_crc32, shard, slot)``: a uniform shuffle; shard sizes differ by one at most."""
     text = F.coalesce("text", F.lit(""))
-    rows = materialize(docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")), "shard-rows")
+    rows = materialize(docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                                   F.monotonically_increasing_id().alias("row")), "shard-rows")
     n = rows.count()
     chunks = 1 << max((LEAST_CHUNKS - 1).bit_length(), (n // rows_per_chunk).bit_length())
     sizes = [n // shards + (s < n % shards) for s in range(shards)]
@@ -122,11 +123,11 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 16, rows_per_chunk: int =
     bounds = matrix.select("chunk", F.transform(
         F.sequence(F.lit(1), F.lit(shards)), lambda i: F.aggregate(F.slice("room", F.lit(1), i), F.lit(0).cast("long"), lambda a, r: a + r)).alias("bounds"))
     # Permute each chunk; the matrix says which stretch of it goes where.  Chunks may hold copies of
-    # one row in any number, so their order is cut by range too.
-    order = [key("deal"), F.col("doc_id"), F.col("size"), F.col("text_crc32")]
+    # one row in any number, so their order is cut by range too; the row number cuts the copies.
+    order = [key("deal"), F.col("row")]
     permuted = running_total(store_slices(rows, ["chunk"], order, "shard-chunks"), ["chunk"], order, F.lit(1), "place")
     dealt = permuted.join(bounds, "chunk").withColumn(
         "shard", F.size(F.filter("bounds", lambda b: b <= F.col("place"))).cast("int")).drop("bounds", "place", "slice", "chunk")
-    order = [key("slot"), F.col("doc_id"), F.col("size"), F.col("text_crc32")]
+    order = [key("slot"), F.col("row")]
     return running_total(store_slices(dealt, ["shard"], order, "shard-slots"), ["shard"], order, F.lit(1), "slot").select(
         "doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
