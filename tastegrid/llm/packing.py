@@ -100,7 +100,7 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _improve(poor: list[int], rich: list[int], room: int, lengths: list[int], most: int) -> tuple[list[int], list[int]] | None:
+def _improve(poor: list[int], rich: list[int], room: int, lengths: list[int]) -> tuple[list[int], list[int]] | None:
     """Items to send from ``poor`` to ``rich`` and back so that ``rich`` grows by the most, at most ``room``."""
     best, found = 0, None
     for i in poor:
@@ -108,7 +108,13 @@ def _improve(poor: list[int], rich: list[int], room: int, lengths: list[int], mo
             best, found = lengths[i], ([i], [])
     theirs = sorted(rich, key=lambda j: lengths[j])
     sizes = [lengths[j] for j in theirs]
-    own = poor[:most]
+    # Two items of a length do for all pairs; lengths that differ are few, as together they fit in a sequence.
+    kept: dict[int, list[int]] = {}
+    for i in poor:
+        same = kept.setdefault(lengths[i], [])
+        if len(same) < 2:
+            same.append(i)
+    own = [i for same in kept.values() for i in same]
     offers = [([i], lengths[i]) for i in own] + [([i, j], lengths[i] + lengths[j]) for a, i in enumerate(own) for j in own[:a]]
     for items, n in offers:
         # The least of theirs with n - its length <= room gives the largest gain.
@@ -126,11 +132,11 @@ def _improve(poor: list[int], rich: list[int], room: int, lengths: list[int], mo
     return found
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, most: int = 64) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Empty the least full sequences into the other underfull ones.
 
-    ``most`` items of the least full sequence are tried in exchanges with one other sequence at a
-    time, an effort setting; all sequences are tried.
+    All its items and pairs of items are tried in exchanges with one other sequence at a time, and
+    all sequences.
     """
     fill = [sum(lengths[i] for i in b) for b in bins]
     full = [b for b, f in zip(bins, fill) if f == capacity]
@@ -140,7 +146,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, most:
         changed = False
         for rich in reversed(open_[1:]):
             while poor[1] and rich[0] < capacity:
-                found = _improve(sorted(poor[1], key=lambda i: -lengths[i]), rich[1], capacity - rich[0], lengths, most)
+                found = _improve(sorted(poor[1], key=lambda i: -lengths[i]), rich[1], capacity - rich[0], lengths)
                 if not found:
                     break
                 go, come = found
@@ -193,9 +199,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     n = open_.count()
     groups = -(-n // group_rows) or 1
     # Dealt round robin after a sort by hash: equal groups whatever the keys, however often they repeat.
-    order = F.xxhash64(*[F.col(c) for c in columns if c != "ids"])
-    sliced = running_total(store_slices(open_, [], [order, *[F.col(c) for c in columns if c != "ids"]], "pack-order"), [], [order, *[F.col(c) for c in columns if c != "ids"]], F.lit(1), "place")
-    dealt = sliced.withColumn("base", F.col("place") % groups).drop("place", "slice")
+    numbered = open_.withColumn("_hash", F.xxhash64(*[F.col(c) for c in columns if c != "ids"])).withColumn("_row", F.monotonically_increasing_id())
+    order = [F.col("_hash"), F.col("_row")]
+    sliced = running_total(store_slices(numbered, [], order, "pack-order"), [], order, F.lit(1), "place")
+    dealt = sliced.withColumn("base", F.col("place") % groups).drop("place", "slice", "_hash", "_row")
     small = dealt.withColumn("doc_id", F.col("doc_id").cast("string")).repartition("base").sortWithinPartitions("base", "length", *[c for c in columns if c not in ("ids", "length")]).mapInPandas(
         run, f"{fields}, sequence_id long, offset long").withColumn("doc_id", F.col("doc_id").cast(pieces.schema["doc_id"].dataType))
     # A full piece is a sequence; numbers below 0 are theirs.
