@@ -75,16 +75,17 @@ def mix(docs: DataFrame, quality: Column | None = None, weights: tuple[int, ...]
     """``(doc_id, text_hash, size, source, source_size, target, copies, cut_words, taken)`` and the columns ``keep``, one row per document.
 
     ``copies`` whole copies are taken and, if ``cut_words`` is not 0, a part of so many words more.
-    A row number among ``keep`` tells repeated rows apart, and cuts them by range as well.
+    A row number among ``keep`` tells repeated rows apart.
     """
     text = F.col("text")
     weight = symbol_quality(text) if quality is None else quality
     weight = F.when((weight > LEAST_QUALITY) & (weight < float("inf")), weight).otherwise(F.lit(LEAST_QUALITY))
     keyed = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "source", word_count(text).alias("size"),
-        (-F.log(_uniform(F.col("doc_id"), seed)) / weight).alias("key"), *keep)
-    order = [F.col("key"), F.col("doc_id"), F.col("text_hash"), *[F.col(c) for c in keep]]
-    sliced = store_slices(keyed, ["source"], order, "mix")
+        (-F.log(_uniform(F.col("doc_id"), seed)) / weight).alias("key"), F.monotonically_increasing_id().alias("_row"), *keep)
+    # Stored before it is cut, so that no text is read for the cuts; the row number cuts rows equal in all else.
+    order = [F.col("key"), F.col("doc_id"), F.col("text_hash"), *[F.col(c) for c in keep], F.col("_row")]
+    sliced = store_slices(materialize(keyed, "mix-rows"), ["source"], order, "mix")
     sizes = sliced.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, ratio, most), "mix-targets").withColumnRenamed("source", "of_source")
     placed = running_total(sliced, ["source"], order, F.col("size"), "before")

@@ -426,3 +426,39 @@ def test_ids_stay_exact_beside_nulls(spark):
     pages = df.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b/").alias("url"), F.col("text").alias("html"))
     assert {r.page_id for r in html_text.extract_main_text(pages).collect()} == want
     assert {r.page_id for r in warc.derive(warc.response_records(pages)).collect()} == want
+
+
+def test_a_row_repeated_in_half_the_table_is_cut(spark, settings, monkeypatch):
+    """No slice holds more than twice the mean, with one row in half of the table; results stay whole."""
+    from tastegrid.operators import skew
+
+    slices = []
+    stored = skew.materialize
+
+    def watch(df, label):
+        out = stored(df, label)
+        slices.append((label, sorted(r["count"] for r in out.groupBy("slice").count().collect())))
+        return out
+
+    monkeypatch.setattr(skew, "materialize", watch)
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(None, None, None)] * 6000 + [(i, f"word{i} " * (1 + i % 50), "abc"[i % 3]) for i in range(6000)]
+    df = docs(spark, rows).repartition(6)
+    dealt = sharding.shuffle_into_shards(df, shards=3, rows_per_chunk=1000).collect()
+    assert Counter(r.shard for r in dealt) == {0: 4000, 1: 4000, 2: 4000} and {(r.shard, r.slot) for r in dealt} == {(s, i) for s in range(3) for i in range(4000)}
+    mixed = mixing.mix(df)
+    check_mix(rows, mixed.collect())
+    pieces = packing.pack(spark.range(12_000).select(
+        F.when(F.col("id") < 6000, F.col("id")).alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") < 6000, F.col("id") % 97 + 1).otherwise(7).cast("long").alias("length")), group_rows=3000)
+    packed = pieces.collect()
+    assert len(packed) == 12_000 and gapless(packed, packing.CAPACITY) >= 1
+    assert {label for label, _ in slices} >= {"shard-chunks", "shard-slots", "mix", "pack-order"}
+    for label, sizes in slices:
+        assert sizes[-1] <= 2 * sum(sizes) / len(sizes), (label, sizes)
+
+
+def test_all_pairs_of_the_poorest_are_offered():
+    """However many pieces are longer: the pair that fits is found among the shortest."""
+    lengths = [50] * 70 + [3, 4, 2]
+    go, come = packing._improve(list(range(72)), [72], 5, lengths)
+    assert sorted(go) == [70, 71] and come == [72]
