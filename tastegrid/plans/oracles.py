@@ -378,3 +378,4 @@ products AS (SELECT 1 + sum(n * s * s) AS ss, sum(n * s * h) AS sh, 1 + sum(n *
 told AS (SELECT (hh * sb - sh * hb) / (ss * hh - sh * sh) AS s_bias, (ss * hb - sh * sb) / (ss * hh - sh * sh) AS h_bias,
                 (hh * sf - sh * hf) / (ss * hh - sh * sh) AS s_factor, (ss * hf - sh * sf) / (ss * hh - sh * sh) AS h_factor FROM products)
 SELECT artist_id, round(s * s_bias + h * h_bias, 6) AS bias, round(s * s_factor + h * h_factor, 6) AS factor FROM described CROSS JOIN told"""
+ORACLES["master_colocated"] = ORACLES["master_table"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import text
 from ..functions.numbers import coerce_id
-from ..operators import audited, baselines, catalog, evaluate, extract, factorize, feature_factors, frames, inner_products, neighbours, quality, recommend, resume, ridge_factors, rollup, sketches, split, tags, tfidf
+from ..operators import audited, baselines, catalog, colocated, evaluate, extract, factorize, feature_factors, frames, inner_products, neighbours, quality, recommend, resume, ridge_factors, rollup, sketches, split, tags, tfidf
 from ..operators.ratings import rate_interactions
 from ..session import materialize, scratch_path
 from ..sources import delimited, payloads
@@ -198,6 +198,13 @@ def master_table(spark, d):
     return catalog.master_table(_ratings(spark, d), _vector_catalog(spark, d))
 
 
+@query
+def master_colocated(spark, d):
+    """The master table from a pair stored in buckets, joined without an exchange."""
+    pair = colocated.store_pair(_ratings(spark, d), _vector_catalog(spark, d).drop("artist"), "artist_id", label="master")
+    return colocated.join_pair(*pair, "artist_id")
+
+
 # --- tags ---------------------------------------------------------------------------------------
 
 def _tag_counts(spark, d):

@@ -1,8 +1,9 @@
 """The physical plans that the large scale depends on."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tastegrid.operators import resume, split, tags
+from tastegrid.operators import colocated, resume, split, tags
 from tastegrid.operators.ratings import rate_interactions
 
 
@@ -68,3 +69,32 @@ def test_hot_artist_is_split_at_the_join(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_stored_pairs_join_without_an_exchange(spark):
+    """A hot key, null keys, keys of one side only, repeated rows: the plain join's rows, and no bucket is hot."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold") if spark.conf.get(k, None)}
+    facts = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, None).otherwise(F.col("id") % 500).cast("long").alias("artist_id"), (F.col("id") % 4000).alias("user_id"))
+    artists = spark.range(450).select(F.col("id").alias("artist_id"), F.col("id").cast("string").alias("url")).unionByName(spark.createDataFrame([(7, "again")], "artist_id long, url string"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        assert colocated.hot_keys(facts, "artist_id", 8).collect()[0].asDict() == {"artist_id": 7, "salts": 3}
+        pair = colocated.store_pair(facts, artists, "artist_id", buckets=8)
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            joined = colocated.join_pair(*pair, "artist_id", how)
+            assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+            wanted = facts.join(artists, "artist_id", how)
+            assert sorted(map(str, joined.collect())) == sorted(map(str, wanted.select(joined.columns).collect()))
+        per_bucket = [r["count"] for r in pair[0].groupBy("artist_id", colocated.SALT).count().collect()]
+        assert max(per_bucket) <= 1.1 * 9000 / 8
+        empty = colocated.store_pair(facts.limit(0), artists, "artist_id", buckets=2)
+        assert colocated.join_pair(*empty, "artist_id").count() == 0
+        with pytest.raises(ValueError):
+            colocated.store_pair(facts.withColumn(colocated.SALT, F.lit(1)), artists, "artist_id")
+        with pytest.raises(ValueError):
+            colocated.join_pair(*pair, "artist_id", "full")
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
