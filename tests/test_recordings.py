@@ -11,6 +11,7 @@ from tastegrid.operators import extract, frames, resume, rollup
 from tastegrid.plans import prepare
 from tastegrid.sources.audio import audio_files
 from tastegrid.streaming.new_files import start_extraction
+from tastegrid.streaming.stateful_files import chosen_files, feature_schema, read_batches, start_stateful_extraction
 
 
 def test_frame_stats(spark):
@@ -160,3 +161,43 @@ def test_extract_step_resumes(spark, folder, tmp_path):
         assert {r["musicnet_id"]: r["peak"] for r in spark.read.parquet(f"{out}/audio_features_train").collect()} == {1: 2.0, 2: 4.0}
         assert [r["musicnet_id"] for r in spark.read.parquet(f"{out}/failures_train").collect()] == [4]
         assert [r["musicnet_id"] for r in spark.read.parquet(f"{out}/missing_train").collect()] == [8]
+
+
+def test_state_of_the_stream_keeps_ids_and_attempts(spark, folder, tmp_path):
+    done, failed, checkpoint, before = (str(tmp_path / n) for n in ("done", "failed", "checkpoint", "before"))
+    spark.createDataFrame([(3,)], "musicnet_id long").write.parquet(before)
+    (folder / "[1] a{b}").mkdir()
+    (folder / "[1] a{b}" / "8.wav").write_bytes(wav([8]))
+
+    def run():
+        start_stateful_extraction(spark, str(folder) + "/{.,*}", loudness, ["peak", "rms"], done, failed, checkpoint, before, files_per_batch=2, attempts=3).awaitTermination()
+        found = read_batches(spark, done, feature_schema(["peak", "rms"])).collect()
+        notes = spark.read.option("recursiveFileLookup", True).parquet(failed).collect()
+        return sorted((r["musicnet_id"], r["peak"]) for r in found), sorted((r["musicnet_id"], r["attempt"]) for r in notes)
+
+    features = [(1, 2.0), (2, 4.0), (8, 8.0)]
+    found, notes = run()
+    assert found == features and notes[0] == (4, 1)
+    # A second file of a known id adds nothing; a new id does.
+    (folder / "[1] a{b}" / "1.wav").write_bytes(wav([9]))
+    (folder / "5.wav").write_bytes(wav([5]))
+    for _ in range(3):
+        found, notes = run()
+    assert found == sorted([*features, (5, 5.0)]) and notes == [(4, 1), (4, 2), (4, 3)]
+
+
+def test_a_note_read_twice_counts_once(spark, tmp_path):
+    files, notes = str(tmp_path / "files"), str(tmp_path / "notes")
+    schema = "musicnet_id long, path string, attempt int"
+
+    def run(new, failures):
+        for path, rows in ((files, new), (notes, failures)):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        out = str(tmp_path / "out")
+        chosen = chosen_files(spark.readStream.schema(schema).parquet(files), spark.readStream.schema(schema).parquet(notes), None, 2)
+        chosen.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(out).collect()))
+
+    assert run([(1, "b", 0), (1, "a", 0), (None, "x", 0)], []) == [(1, "a", 1)]
+    assert run([(1, "c", 0)], [(1, "a", 1)]) == [(1, "a", 1), (1, "a", 2)]
+    assert run([], [(1, "a", 1), (1, "a", 2), (2, "q", 1)]) == [(1, "a", 1), (1, "a", 2)]
