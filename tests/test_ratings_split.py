@@ -105,3 +105,23 @@ def test_ranks_without_keys_and_with_null_keys(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "k string, x int")
     assert [(r["x"], r["rank"]) for r in skew.rank_in_group(df, [], [F.col("x")]).orderBy("x").collect()] == [(1, 1), (2, 2), (3, 3)]
     assert [(r["x"], r["rank"]) for r in skew.rank_in_group(df, ["k"], [F.col("x")]).orderBy("x").collect()] == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_large_tables_get_more_and_narrow_tasks(spark, tmp_path, monkeypatch):
+    """More rows than the session's partitions should hold: plays and slices are spread over more, with the same split, and no digest is stored."""
+    from tastegrid import session
+    from tastegrid.plans import standins
+
+    spark.range(4000).select((F.col("id") % 500).alias("l_orderkey"), (F.col("id") * 7 % 97).alias("l_partkey"), (F.col("id") % 50).cast("double").alias("l_quantity")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(500).select(F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    plays = standins.interactions(spark, str(tmp_path)).withColumnRenamed("weight", "rating")
+    want_plays, want = set(plays.collect()), set(split.label_split(plays).collect())
+    monkeypatch.setattr(session, "ROWS", 100)
+    monkeypatch.setattr(skew, "ROWS", 100)
+    stored, plain = [], skew.materialize
+    monkeypatch.setattr(skew, "materialize", lambda df, label: stored.append(plain(df, label)) or stored[-1])
+    many = standins.interactions(spark, str(tmp_path)).withColumnRenamed("weight", "rating")
+    got = split.label_split(many)
+    assert set(many.collect()) == want_plays and set(got.collect()) == want and got.count() == len(want)
+    assert "hashpartitioning(o_custkey" in many._jdf.queryExecution().executedPlan().toString() and "REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+    assert stored[0].columns == [*plays.columns, "slice"] and stored[0].select("slice").distinct().count() > 4
