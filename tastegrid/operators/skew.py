@@ -11,15 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, tasks_for
+from ..session import materialize, tasks_beyond
 
 ROWS = 500_000  # of one slice, where the number of rows is known
 
 
 def _tasks(df: DataFrame, rows: int | None) -> list[int]:
-    """The number of partitions, if ``rows`` need more than the session's."""
-    tasks = tasks_for(df.sparkSession, rows or 0, ROWS)
-    return [tasks] if tasks > tasks_for(df.sparkSession, 0, ROWS) else []
+    """The number of partitions, if ``rows`` need more than adaptive execution leaves."""
+    tasks = tasks_beyond(df.sparkSession, rows or 0, ROWS)
+    return [tasks] if tasks else []
 
 
 def store_slices(df: DataFrame, keys: list[str], order_by: list[Column], label: str, rows: int | None = None) -> DataFrame:

@@ -64,13 +64,25 @@ def tasks_for(spark: SparkSession, amount: int, share: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(amount) // share))
 
 
+def tasks_beyond(spark: SparkSession, rows: int, share: int) -> int:
+    """Partitions for ``rows`` at ``share`` a task; 0 if that is no more than adaptive execution leaves anyway.
+
+    However many shuffle partitions the session has, adaptive execution joins small ones until each
+    core has one, so the rows of a task would grow with the table up to its advisory size in bytes,
+    which is millions of narrow rows.
+    """
+    tasks = -(-int(rows) // share)
+    left = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return tasks if tasks > left else 0
+
+
 ROWS = 300_000
 
 
 def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """``df`` by ``keys`` in as many partitions as ``rows`` at ``ROWS`` a task need; as it is if the session's partitions are enough.
+    """``df`` by ``keys`` in as many partitions as ``rows`` at ``ROWS`` a task need; as it is if that is no more than a task for each core.
 
     For sorts and aggregates of nearly distinct keys, whose memory grows with the rows of a task.
     """
-    tasks = tasks_for(df.sparkSession, rows, ROWS)
-    return df.repartition(tasks, *keys) if tasks > tasks_for(df.sparkSession, 0, ROWS) else df
+    tasks = tasks_beyond(df.sparkSession, rows, ROWS)
+    return df.repartition(tasks, *keys) if tasks else df

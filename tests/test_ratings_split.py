@@ -125,3 +125,31 @@ def test_large_tables_get_more_and_narrow_tasks(spark, tmp_path, monkeypatch):
     assert set(many.collect()) == want_plays and set(got.collect()) == want and got.count() == len(want)
     assert "hashpartitioning(o_custkey" in many._jdf.queryExecution().executedPlan().toString() and "REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
     assert stored[0].columns == [*plays.columns, "slice"] and stored[0].select("slice").distinct().count() > 4
+
+
+def test_tasks_do_not_grow_below_the_shuffle_partitions(spark, tmp_path, monkeypatch):
+    """Fewer tasks needed than the session has shuffle partitions, which adaptive execution would join to one a core: still as many tasks as rows need."""
+    from tastegrid import session
+    from tastegrid.plans import standins
+
+    def most_rows(df):
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    spark.range(4000).select((F.col("id") % 500).alias("l_orderkey"), (F.col("id") * 7 % 97).alias("l_partkey"), (F.col("id") % 50).cast("double").alias("l_quantity")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(500).select(F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        plays = standins.interactions(spark, str(tmp_path)).withColumnRenamed("weight", "rating")
+        want_plays, want = set(plays.collect()), set(split.label_split(plays).collect())
+        assert session.tasks_beyond(spark, 800, 100) == 0 and session.tasks_beyond(spark, 4000, 100) == 40
+        monkeypatch.setattr(session, "ROWS", 100)
+        monkeypatch.setattr(skew, "ROWS", 100)
+        many = standins.interactions(spark, str(tmp_path)).withColumnRenamed("weight", "rating")
+        stored = many.localCheckpoint()
+        sliced = skew.store_slices(stored, ["user_id"], [F.col("artist_id")], "test", stored.count())
+        got = split.label_split(stored)
+        assert set(stored.collect()) == want_plays and set(got.collect()) == want and got.count() == len(want)
+        assert most_rows(many) < 200 and sliced.select("slice").distinct().count() > 30 and sliced.groupBy("slice").count().agg(F.max("count")).first()[0] < 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
