@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .batches import column_values
 
 WIDTH = 5
 PERCENT = 80
@@ -280,7 +281,7 @@ def _described(docs: DataFrame, width: int, groups: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([none[0], pa.array(n[often].astype(np.int64)), *none[1:], pa.array(tokens[often].view(np.int64))], names)
 
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            sets = [shingle_set(t, width) for t in column_values(batch.column("text"))]
             keys = np.array([digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
@@ -339,7 +340,7 @@ def _prefix_rows(docs: DataFrame, order: np.ndarray, width: int, percent: int) -
         values = common.value[by_value]
         for batch in batches:
             rows = []
-            for text in batch.column("text").to_pylist():
+            for text in column_values(batch.column("text")):
                 tokens = shingle_set(text, width)
                 if not len(tokens):
                     continue
@@ -419,7 +420,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            sets = [shingle_set(t, width) for t in column_values(batch.column("text"))]
             chosen = {digest(s)[0]: s for s in sets if len(s)}
             yield pa.RecordBatch.from_arrays([
                 pa.array(list(chosen), pa.int64()), pa.array([s.view(np.int64) for s in chosen.values()], pa.list_(pa.int64()))], ["d1", "tokens"])

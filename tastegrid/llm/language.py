@@ -21,12 +21,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .batches import column_values, slices
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -87,18 +87,19 @@ def count_grams(examples: DataFrame, buckets: int = BUCKETS, orders: tuple[int,
     labelled = examples.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
     most = SLICE
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, docs = {}, {}
 
         def counted():
             for lang, n in docs.items():
                 hit = np.flatnonzero(totals[lang])
-                yield pd.DataFrame({"lang": lang, "bucket": np.append(hit, -1), "n": np.append(totals[lang][hit], n)})
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(hit) + 1), pa.string()), pa.array(np.append(hit, -1).astype(np.int32)),
+                                                  pa.array(np.append(totals[lang][hit], n))], ["lang", "bucket", "n"])
             totals.clear()
             docs.clear()
 
         for batch in batches:
-            for text, lang in zip(batch["text"], batch["lang"]):
+            for text, lang in zip(column_values(batch.column("text")), column_values(batch.column("lang"))):
                 codes = letter_codes(text)
                 if not len(codes):
                     continue
@@ -110,7 +111,7 @@ def count_grams(examples: DataFrame, buckets: int = BUCKETS, orders: tuple[int,
                 docs[lang] += 1
         yield from counted()
 
-    summed = labelled.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    summed = labelled.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     return materialize(summed, "language-counts")
 
 
@@ -156,29 +157,35 @@ def identify(docs: DataFrame, examples: DataFrame, keep: list[Column | str], buc
     heads = {r["lang"]: r["n"] for r in counts.filter("bucket = -1").select("lang", "n").collect()}
     known = sorted(heads)
     parts = [known[i:i + PASS] for i in range(0, len(known), PASS)] or [[]]
-    rows = docs.select(*keep, F.col("text").alias("_text"))
-    kept = rows.columns[:-1]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    rows = docs.select(*keep)
+    kept = rows.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    if any(isinstance(k, str) and k == "text" for k in keep):  # one copy of the text is enough
+        text, own = kept.index("text"), ""
+    else:
+        rows, text, own = docs.select(*keep, F.col("text").alias("_text")), len(kept), "_text string, "
     for part in parts:
         model = docs.sparkSession.sparkContext.broadcast(learn(counts, heads, part, buckets))
         if part is parts[-1]:
-            return rows.mapInArrow(_scorer(model, orders, kept, True), f"{fields}, lang_pred string, score double")
-        rows = materialize(rows.mapInArrow(_scorer(model, orders, kept, False), f"{fields}, _text string, _lang string, _top double, _total double"), "language-pass")
+            return rows.mapInArrow(_scorer(model, orders, kept, text, True), f"{fields}, lang_pred string, score double")
+        rows = materialize(rows.mapInArrow(_scorer(model, orders, kept, text, False), f"{fields}, {own}_lang string, _top double, _total double"), "language-pass")
 
 
-def _scorer(model, orders: tuple[int, ...], kept: list[str], last: bool):
+def _scorer(model, orders: tuple[int, ...], kept: list[str], text: int, last: bool):
+    """``text`` is the place of the text: among the columns ``kept`` or right behind them; the results of an earlier pass come last."""
     n, width = len(kept), SLICE
+    own = max(n, text + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # Arrow keeps 64-bit ids exact beside nulls
-            texts = batch.column(n).to_pylist()
-            before = zip(*[batch.column(n + i).to_pylist() for i in (1, 2, 3)]) if batch.num_columns > n + 1 else [(None, None, None)] * len(texts)
+        for batch in slices(batches):  # Arrow keeps 64-bit ids exact beside nulls
+            texts = batch.column(text).to_pylist()
+            before = zip(*[batch.column(own + i).to_pylist() for i in range(3)]) if batch.num_columns > own else [(None, None, None)] * len(texts)
             found = [score_text(t, *model.value, orders, b, width) for t, b in zip(texts, before)]
             if last:
                 added = [pa.array([UNKNOWN if f[0] is None else f[0] for f in found], pa.string()), pa.array([1.0 / f[2] if f[2] else 0.0 for f in found], pa.float64())]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], *added], [*kept, "lang_pred", "score"])
             else:
                 added = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:n + 1], *added], [*kept, "_text", "_lang", "_top", "_total"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:own], *added], [*kept, *["_text"][:own - n], "_lang", "_top", "_total"])
 
     return score

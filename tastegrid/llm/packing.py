@@ -26,11 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import running_total, store_slices
 from ..session import materialize
+from .batches import column_values
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -59,22 +61,20 @@ def cut_points(n: int, capacity: int = CAPACITY) -> list[int]:
 def tokenize_pieces(docs: DataFrame, ranks_path: str, special: tuple[tuple[str, int], ...] = (("<|endoftext|>", 50256),), capacity: int = CAPACITY,
                     keep_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` and, if asked for, ``ids`` of every piece."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(ranks_path, special).encode_to_numpy
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, text in zip(column_values(batch.column("doc_id")), column_values(batch.column("text"))):
                 ids = np.append(encode(text or "", allowed_special="all"), CLOSING_ID).astype("<u4")
                 starts = cut_points(len(ids), capacity)
                 for i, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)])):
                     out.append((doc_id, i, start, end - start, zlib.crc32(ids[start:end].tobytes()), *([ids[start:end].astype(np.int32)] if keep_ids else [])))
-            columns = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
-            yield pd.DataFrame(out, columns=columns)
+            columns = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), *([("ids", pa.list_(pa.int32()))] if keep_ids else [])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, (_, kind) in enumerate(columns)], [name for name, _ in columns])
 
     ids = ", ids array<int>" if keep_ids else ""
-    # Ids travel as text: pandas has no exact 64-bit numbers beside nulls.
-    pieces = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, f"doc_id string, piece int, start long, length long, ids_crc32 long{ids}")
-    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, piece int, start long, length long, ids_crc32 long{ids}")
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

@@ -9,10 +9,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tastegrid.llm import html_text, language, queries, warc, winnow
+from tastegrid.llm import batches, html_text, language, queries, warc, winnow
 from tastegrid.llm.html_tree import Page, by_depth
 
 SF = "/root/testdata/sf0.001"
@@ -66,6 +67,41 @@ def test_language_learns_every_label(spark, monkeypatch):
         assert r.lang_pred == once[r.doc_id][0] and abs(r.score - once[r.doc_id][1]) < 1e-9
 
 
+def test_language_holds_a_text_once_and_few_as_strings(spark, monkeypatch):
+    """A kept text is the one that is scored, through several passes too; rows go back in small batches, however many came at once."""
+    docs = spark.createDataFrame([(i if i % 7 else None, ["the cat", "der hund", None, "12"][i % 4], ["en", "de", "en", None][i % 4]) for i in range(700)], "doc_id long, text string, lang string")
+    keep = ["doc_id", "text", "lang"]
+    apart = language.identify(docs, docs, ["doc_id", F.col("text"), "lang"])
+    judged = language.identify(docs, docs, keep)
+    assert "_text" in apart._jdf.queryExecution().toString() and "_text" not in judged._jdf.queryExecution().toString()
+    want = sorted(map(repr, apart.collect()))
+    assert judged.columns == [*keep, "lang_pred", "score"] and sorted(map(repr, judged.collect())) == want and len(want) == 700
+    monkeypatch.setattr(language, "PASS", 1)
+    assert sorted(r[:4] for r in language.identify(docs, docs, keep).fillna(0).fillna("").collect()) == sorted(r[:4] for r in judged.fillna(0).fillna("").collect())
+
+    class Model:
+        value = (["en"], np.zeros(1), np.zeros((language.BUCKETS, 1), dtype=np.float32))
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(700)), "text": ["the"] * 700})
+    parts = list(language._scorer(Model, language.ORDERS, ["doc_id", "text"], 1, True)(iter([batch, batch.slice(0, 0)])))
+    assert max(p.num_rows for p in parts) <= batches.AT_ONCE and [x for p in parts for x in p.column("doc_id").to_pylist()] == list(range(700))
+    assert parts[0].schema.names == ["doc_id", "text", "lang_pred", "score"]
+
+
+def test_values_of_a_column_are_converted_in_parts():
+    sizes = []
+
+    class Column:
+        def __len__(self):
+            return 1000
+
+        def slice(self, start, n):
+            sizes.append(n)
+            return pa.array(range(1000)).slice(start, n)
+
+    assert list(batches.column_values(Column())) == list(range(1000)) and max(sizes) == batches.AT_ONCE
+
+
 # --- page text --------------------------------------------------------------------------------
 
 
