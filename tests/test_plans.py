@@ -98,3 +98,18 @@ def test_stored_pairs_join_without_an_exchange(spark):
     finally:
         for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
             spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    """More rows than the session's partitions should hold: more buckets, none large, and the rows of the plain join; of a small table none more."""
+    facts = spark.range(4000).select(F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 900).cast("long").alias("artist_id"), F.col("id").alias("user_id"))
+    artists = spark.range(800).select(F.col("id").alias("artist_id"), F.col("id").cast("string").alias("url"))
+    wanted = sorted(map(str, facts.join(artists, "artist_id", "left").collect()))
+    monkeypatch.setattr(colocated, "ROWS", 100)
+    pair = colocated.store_pair(facts, artists, "artist_id")
+    assert sorted(map(str, colocated.join_pair(*pair, "artist_id").select("artist_id", "user_id", "url").collect())) == wanted
+    per_bucket = [r["count"] for r in pair[0].groupBy(F.input_file_name()).count().collect()]
+    assert len(per_bucket) > 30 and max(per_bucket) < 300
+    few = colocated.store_pair(facts.limit(300), artists, "artist_id")
+    assert few[0].select(F.input_file_name()).distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert colocated.join_pair(*colocated.store_pair(facts.limit(0), artists, "artist_id"), "artist_id").count() == 0
