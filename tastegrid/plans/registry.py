@@ -562,7 +562,7 @@ def recommend_hybrid(spark, d):
 def model_checks(spark, d):
     """Per fitted model: train rows, predictions off the scale, and whether it is nearer to the train rows than the global mean."""
     train, _, models = _models(spark, d)
-    fitted = materialize(_predictions(models, train), "fitted")
+    fitted = _predictions(models, train)
     mean = train.agg(F.avg("rating")).scalar()
     error, plain = F.col("rating") - F.col("prediction"), F.col("rating") - F.col("mean")
     return fitted.withColumn("mean", mean).groupBy("model").agg(
